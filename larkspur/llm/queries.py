@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import mixing, secrets, sharding, warc
+from larkspur.llm import bitsliced, hnsw, mixing, secrets, sharding, warc
 from larkspur.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,16 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(table(spark, sf_dir, "documents"))
 
 
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hnsw.vectors(table(spark, sf_dir, "embeddings"))
+    return hnsw.search(hnsw.build(rows), rows.where(F.col("id") % 20 == 0), 20)
+
+
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bitsliced.quantised(table(spark, sf_dir, "embeddings"))
+    return bitsliced.search(bitsliced.build(rows), rows.where(F.col("id") % 50 == 0), 5)
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     sized = mixing.mix(docs)
@@ -31,9 +41,17 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scans, op6_source_mixing, op9_warc, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scans, op2_nearest_neighbours, op5_topk_search, op6_source_mixing, op9_warc, op10_sharding)}
 
 ORACLES: dict[str, str] = {
+    "op5_topk_search": """
+        WITH t AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+                   FROM t q JOIN t c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+        SELECT query_id, rank::INT AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+    """,
     "op9_warc": """
         SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
                CASE WHEN keeps THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN NOT keeps THEN first END AS refers_to
