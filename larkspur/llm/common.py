@@ -50,3 +50,13 @@ def free_name(df: DataFrame, stem: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def held_out(key: Column) -> Column:
+    """One row in five, by the CRC-32 of the key as text; rows without a key too (crc of "" is 0). Labels are never learned from them."""
+    return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+def share_of(key: Column, part: float, seed: int) -> Column:
+    """True for about that part of keys, the same ones in every run."""
+    return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < F.lit(int(min(part, 1.0) * (1 << 30)))

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bitsliced, hnsw, mixing, secrets, sharding, warc
-from larkspur.llm.common import table
+from larkspur.llm import bitsliced, hnsw, mixing, quality, secrets, sharding, toxicity, warc
+from larkspur.llm.common import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +33,17 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sized.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(warc.write(table(spark, sf_dir, "pages"))).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -41,7 +52,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scans, op2_nearest_neighbours, op5_topk_search, op6_source_mixing, op9_warc, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scans, op2_nearest_neighbours, op5_topk_search, op6_source_mixing, op7_toxicity, op8_quality_classifier, op9_warc, op10_sharding)}
 
 ORACLES: dict[str, str] = {
     "op5_topk_search": """
