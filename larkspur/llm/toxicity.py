@@ -49,8 +49,8 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def nnpu(p_rows: list[np.ndarray], u_rows: list[np.ndarray], n_features: int, prior: float, steps: int = 400, rate: float = 0.1, decay: float = 1e-3, beta: float = 0.0) -> tuple[np.ndarray, float]:
-    """Weights and bias by Adam on the whole sample; rows are arrays of feature numbers."""
+def nnpu(p_rows: list[np.ndarray], u_rows: list[np.ndarray], n_features: int, prior: float, steps: int = 600, rate: float = 0.1, sparsity: float = 3e-5, beta: float = 0.0) -> tuple[np.ndarray, float]:
+    """Weights and bias by Adam on the whole sample, weights shrunk toward 0 at each step so that few features tell; rows are arrays of feature numbers."""
 
     def sparse(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
         return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate([np.zeros(0, np.int64), *rows]).astype(np.int64), max(len(rows), 1)
@@ -69,11 +69,13 @@ def nnpu(p_rows: list[np.ndarray], u_rows: list[np.ndarray], n_features: int, pr
         else:  # the non-negative correction: climb back
             dp, du = -dp_minus, -du_minus
         grad = np.zeros(n_features + 1)
-        grad[:-1] = np.bincount(pj, dp[pi], minlength=n_features) + np.bincount(uj, du[ui], minlength=n_features) + decay * w * (negative >= -beta)
+        grad[:-1] = np.bincount(pj, dp[pi], minlength=n_features) + np.bincount(uj, du[ui], minlength=n_features)
         grad[-1] = dp.sum() + du.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
+        shrink = rate * sparsity / (np.sqrt(v[:-1] / (1 - 0.999**t)) + 1e-8)
+        w = np.sign(w) * np.maximum(np.abs(w) - shrink, 0)
     return w, float(b)
 
 
@@ -136,7 +138,7 @@ def fit(names: list[str], p_rows: list[np.ndarray], u_rows: list[np.ndarray], pr
     to[at] = np.arange(len(at))
     kept = lambda rows: [c[c >= 0] for c in (to[r] for r in rows)]
     w, b = nnpu(kept(p_rows), kept(u_rows), len(at), prior)
-    return Model({names[i]: float(x) for i, x in zip(at, w, strict=True)}, b, prior)
+    return Model({names[i]: float(x) for i, x in zip(at, w, strict=True) if x}, b, prior)
 
 
 def score(docs: DataFrame, model: Model, column: str = "score", text: str = "text") -> DataFrame:
