@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bitsliced, hnsw, mixing, pieces, quality, secrets, sharding, toxicity, warc
+from larkspur.llm import bitsliced, hnsw, mixing, neardup, pieces, quality, secrets, sharding, toxicity, warc
 from larkspur.llm.common import held_out, table
 
 #: Where the SentencePiece model lies; the driver reads it.
@@ -26,6 +26,10 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(hnsw.build(rows), rows.where(F.col("id") % 20 == 0), 20)
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(words=2))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -60,9 +64,20 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scans, op2_nearest_neighbours, op4_sentencepiece, op5_topk_search, op6_source_mixing, op7_toxicity, op8_quality_classifier, op9_warc, op10_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scans, op2_nearest_neighbours, op3_minhash_near_dedup, op4_sentencepiece, op5_topk_search, op6_source_mixing, op7_toxicity, op8_quality_classifier, op9_warc, op10_sharding)}
 
 ORACLES: dict[str, str] = {
+    "op3_minhash_near_dedup": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+             s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) = 1 THEN [ws[1]] ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS sh FROM w),
+             e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+             p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c, any_value(a.n) AS na, any_value(b.n) AS nb FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY 1, 2),
+             l AS (SELECT a, b FROM p WHERE 100 * c >= 80 * (na + nb - c)),
+             u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+             r AS (SELECT doc_id AS x, doc_id AS y FROM s UNION SELECT r.x, u.b FROM r JOIN u ON r.y = u.a),
+             m AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+        SELECT s.doc_id, len(s.sh) AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept FROM s JOIN m ON s.doc_id = m.x
+    """,
     "op5_topk_search": """
         WITH t AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
