@@ -194,7 +194,7 @@ def within(rows: DataFrame, settings: Settings) -> DataFrame:
 
     keys = ("grp", "chunk", "lot")
     columns = [c for c in ("grp", "chunk", "lot", "node", "label", "sig", "members") if c in cut.columns or c in keys]
-    crossed = strays.select(*columns).groupBy(*keys).cogroup(every.select(*columns).groupBy(*keys)).applyInArrow(second, "a long, b long")
+    crossed = strays.select(*columns).toDF(*columns).groupBy(*keys).cogroup(every.select(*columns).toDF(*columns).groupBy(*keys)).applyInArrow(second, "a long, b long")
     return materialise(out.unionByName(materialise(crossed)))
 
 
