@@ -7,6 +7,7 @@ import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,11 +27,18 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder of spark.checkpoint.dir, which outlives lost executors."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share; one of our own only where none is set, as in tests."""
+    sc = spark.sparkContext
+    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir() or tempfile.mkdtemp(prefix="larkspur-")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="larkspur-"))
+        sc.setCheckpointDir(folder)
+    return folder
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder, which outlives lost executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -60,3 +68,7 @@ def held_out(key: Column) -> Column:
 def share_of(key: Column, part: float, seed: int) -> Column:
     """True for about that part of keys, the same ones in every run."""
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < F.lit(int(min(part, 1.0) * (1 << 30)))
+
+
+def with_field(df: DataFrame, name: str, kind: DataType) -> StructType:
+    return StructType([*df.schema.fields, StructField(name, kind)])

@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import materialise
+from larkspur.llm.common import free_name, materialise
 from larkspur.llm.components import components
 from larkspur.llm.shingles import MinHash, digest, sets
 
@@ -199,21 +199,21 @@ def within(rows: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _signed(docs: DataFrame, settings: Settings) -> DataFrame:
-    """(doc_id, n, digest, bands, sig) of each row; the last three null without words."""
+    """(doc_id, mark, n, digest, bands, sig) of each row; the last three null without words."""
     hasher = MinHash(settings.hashes)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, digests, bands, sigs = [], [], [], []
-            for x in sets(batch.column(1), settings.words):
+            for x in sets(batch.column(2), settings.words):
                 n.append(len(x))
                 s = hasher.signature(x)
                 digests.append(digest(x) if len(x) else None)
                 sigs.append(s.astype(np.uint8).tobytes() if len(x) else None)
                 bands.append(_keys(s, settings) if len(x) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["doc_id", "n", "digest", "bands", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["doc_id", "mark", "n", "digest", "bands", "sig"])
 
-    return docs.mapInArrow(signed, "doc_id long, n long, digest binary, bands array<long>, sig binary")
+    return docs.mapInArrow(signed, "doc_id long, mark long, n long, digest binary, bands array<long>, sig binary")
 
 
 def _keys(signature: np.ndarray, settings: Settings) -> np.ndarray:
@@ -237,15 +237,16 @@ def _surviving(pairs: DataFrame, signatures: DataFrame, settings: Settings) -> D
     return pairs.join(named("b"), "b").join(named("a"), "a").select("a", "b", "sig_a", "sig_b").mapInArrow(compared, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: B008
+def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text", mark: str | None = None) -> DataFrame:  # noqa: B008
     """Per row: key, n_shingles, component_id (the least key that links reach, its own included), kept (key = component_id).
 
     Words are runs of what is not ASCII white space, A-Z in lower case. A text with fewer words than a shingle has its whole
     sequence as one; null and empty texts have none and link with nothing. Rows with equal keys are one document with several
     texts. Rows with a null key take part only by equal sets; their own component is null where there is no other key, and
-    such rows are kept. An empty table gives no rows. Other columns are ignored.
+    such rows are kept. An empty table gives no rows. Other columns are ignored. mark: a further column of this name, the text's
+    xxhash64, by which unique() finds the row again.
     """
-    rows = materialise(_signed(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), settings))
+    rows = materialise(_signed(docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")), settings))
     seen = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
     classes = rows.join(seen.where("node is not null").withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("node"))).select("node", "digest", "n", "bands", "sig").dropDuplicates(["digest"])
     classes = materialise(classes)
@@ -281,6 +282,17 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     joined = components(within(materialise(full), settings))
 
     named = seen.join(joined.withColumnRenamed("node", "nd"), F.col("node") == F.col("nd"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "node").alias("component_id"))
-    out = rows.select("doc_id", "n", "digest").join(named, F.col("digest") == F.col("d"), "left")
+    out = rows.select("doc_id", "mark", "n", "digest").join(named, F.col("digest") == F.col("d"), "left")
     component = F.coalesce("component_id", "doc_id")
-    return out.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    return out.select(*[F.col("mark").alias(m) for m in [mark] if m], F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+def unique(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: B008
+    """The rows, all their columns, of the documents that stay: one of each group. Of rows that repeat key and text one stays."""
+    mark, k = free_name(docs, "mark"), free_name(docs, "key")
+    stay = near_duplicates(docs, settings, key, text, mark).where("kept").select(F.col(key).alias(k), mark).distinct()
+    hashed = free_name(docs, "hash")
+    own = docs.withColumn(hashed, F.xxhash64(text))
+    found = own.join(stay, own[key].eqNullSafe(stay[k]) & (own[hashed] == stay[mark]), "left_semi")
+    turn = free_name(docs, "turn")
+    return found.withColumn(turn, F.row_number().over(Window.partitionBy(key, hashed).orderBy(F.lit(1)))).where(F.col(turn) == 1).drop(turn, hashed)

@@ -18,8 +18,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from larkspur.llm.common import free_name
+from larkspur.llm.common import free_name, with_field
 
 #: The base patterns, letters of the keywords in either case (ASCII only), and the least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -211,7 +212,7 @@ def redacted(docs: DataFrame, text: str = "text", chars: str | None = "n_chars")
             i = batch.schema.get_field_index(text)
             yield batch.append_column(clean, pa.array([redact(x.as_py()) for x in batch.column(i)], pa.string()))
 
-    out = docs.mapInArrow(masked, docs.schema.add(clean, "string") if clean not in docs.columns else docs.schema)
+    out = docs.mapInArrow(masked, with_field(docs, clean, StringType()))
     if chars in docs.columns:
         out = out.withColumn(chars, F.when(F.col(clean).eqNullSafe(F.col(text)), F.col(chars)).otherwise(F.length(clean).cast(docs.schema[chars].dataType)))
     return out.withColumn(text, F.col(clean)).drop(clean)

@@ -17,8 +17,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from larkspur.llm.common import held_out, share_of, small, words
+from larkspur.llm.common import held_out, share_of, small, with_field, words
 
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_/\\"
 
@@ -149,6 +150,4 @@ def score(docs: DataFrame, model: Model, column: str = "score", text: str = "tex
             i = batch.schema.get_field_index(text)
             yield batch.append_column(column, pa.array([model.score(x.as_py()) for x in batch.column(i)], pa.float64()))
 
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    return docs.mapInArrow(scored, StructType([*docs.schema.fields, StructField(column, DoubleType())]))
+    return docs.mapInArrow(scored, with_field(docs, column, DoubleType()))
