@@ -33,16 +33,20 @@ TABLES = {"actors": ACTORS, "follows": ACTOR_EDGES, "blocks": ACTOR_EDGES, "like
 _LOW = -(2**63)
 
 
+def _wide(n: int) -> Column:
+    return F.lit(str(n)).cast("decimal(20,0)")
+
+
 def signed(column: Column) -> Column:
     """An unsigned number, as Spark reads it from Parquet (DECIMAL(20,0)), as the BIGINT of the same bits."""
     wide = column.cast("decimal(20,0)")
-    return F.when(wide >= F.lit(2**63).cast("decimal(20,0)"), wide - F.lit(2**64).cast("decimal(20,0)")).otherwise(wide).cast("bigint")
+    return F.when(wide >= _wide(2**63), wide - _wide(2**64)).otherwise(wide).cast("bigint")
 
 
 def unsigned(column: Column) -> Column:
     """The other way: BIGINT bits as DECIMAL(20,0) of 0 to 2**64 - 1."""
     wide = column.cast("decimal(20,0)")
-    return F.when(column < 0, wide + F.lit(2**64).cast("decimal(20,0)")).otherwise(wide).cast("decimal(20,0)")
+    return F.when(column < 0, wide + _wide(2**64)).otherwise(wide).cast("decimal(20,0)")
 
 
 def normalised(df: DataFrame) -> DataFrame:
