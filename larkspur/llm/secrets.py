@@ -170,15 +170,15 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
 
 
 def redact(text: str | None, mask: str = "[secret]") -> str | None:
-    """The text with every span, overlapping ones together, replaced by the mask; a null stays null."""
-    if not text:
-        return text
-    out, at = [], 0
-    for start, end, _ in scan(text):
-        if start >= at:
-            out += [text[at:start], mask]
-        at = max(at, end)
-    return "".join([*out, text[at:]])
+    """The text with every span, overlapping ones together, replaced by the mask, over again if that lays bare another; a null stays null."""
+    while spans := scan(text):
+        out, at = [], 0
+        for start, end, _ in spans:
+            if start >= at:
+                out += [text[at:start], mask]
+            at = max(at, end)
+        text = "".join([*out, text[at:]])
+    return text
 
 
 def _joined(spans: list[tuple[int, int, str]]) -> str:
