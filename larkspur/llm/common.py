@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import re
 import tempfile
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -72,3 +76,27 @@ def share_of(key: Column, part: float, seed: int) -> Column:
 
 def with_field(df: DataFrame, name: str, kind: DataType) -> StructType:
     return StructType([*df.schema.fields, StructField(name, kind)])
+
+
+def sieve(keys: DataFrame, seed: int = 23) -> Callable[[Column], Column]:
+    """A test for a BIGINT column that is true wherever the value is among the keys (one BIGINT column), and seldom elsewhere.
+
+    It is a bitmap of 16 bits a key, 8 MB at most whatever their number, so that it can be broadcast; what it lets pass wrongly
+    has to be told apart by a join, which then moves few rows. Null is never among the keys.
+    """
+    spark = keys.sparkSession
+    hashed = keys.select(F.xxhash64(F.lit(seed), keys[keys.columns[0]]).alias("h"))
+    bits = 1 << int(min(max(16, math.ceil(math.log2(max(hashed.count(), 1) * 16))), 26))
+    at = hashed.select(F.col("h").bitwiseAND(F.lit(bits - 1)).alias("p")).select(F.shiftright("p", 6).alias("w"), F.col("p").bitwiseAND(F.lit(63)).cast("int").alias("i"))
+    found = at.groupBy("w").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("i"))).alias("v")).toArrow()
+    words = np.zeros(bits // 64, np.int64)
+    words[found["w"].to_numpy()] = found["v"].to_numpy()
+    held = spark.sparkContext.broadcast(words.tobytes())
+
+    @F.arrow_udf("boolean")
+    def among(h: pa.Array) -> pa.Array:
+        bitmap = np.frombuffer(held.value, np.uint64)
+        p = h.to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(bits - 1)
+        return pa.array((bitmap[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool))
+
+    return lambda column: among(F.xxhash64(F.lit(seed), column))

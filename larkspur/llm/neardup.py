@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import free_name, materialise
+from larkspur.llm.common import free_name, materialise, sieve
 from larkspur.llm.components import components
 from larkspur.llm.shingles import MinHash, digest, sets
 
@@ -41,7 +41,7 @@ class Settings:
     rows: int = 6
     batch: int = 36
     miss: float = 1e-5
-    chunk: int = 1024
+    chunk: int = 4096
     chunk_shingles: int = 1 << 21
 
     @property
@@ -136,7 +136,7 @@ def _links(found: list[tuple[int, int]]) -> pa.Table:
 
 
 def within(rows: DataFrame, settings: Settings) -> DataFrame:
-    """Links (a, b) that connect what is similar within groups; rows: (grp, node, label, size, sig[, members]).
+    """Links (a, b) that connect what is similar within groups; rows, kept: (grp, node, label, size, sig[, members]).
 
     Members of one label count as connected. Groups of one chunk go through whole, several to a task. Larger ones first meet
     in chunks, with pivots; then what has another label than most of the group meets all its chunks.
@@ -145,7 +145,7 @@ def within(rows: DataFrame, settings: Settings) -> DataFrame:
     sized = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.greatest(F.count(F.lit(1)) / settings.chunk, F.sum("size") / settings.chunk_shingles)).cast("long").alias("chunks"), *[F.min(F.col("node").bitwiseXOR(F.lit(m))).alias(f"p{i}") for i, m in enumerate(_MASKS)])
     sized = materialise(sized)
     small, large = sized.agg(F.coalesce(F.sum(F.when(F.col("chunks") <= 1, F.col("n"))), F.lit(0)), F.coalesce(F.max("chunks"), F.lit(0))).first()
-    packs = max(1, small // (settings.chunk // 2))
+    packs = max(1, small // 512)
 
     def packed(t: pa.Table) -> pa.Table:
         groups, found = t["grp"].to_numpy(), []
@@ -165,7 +165,7 @@ def within(rows: DataFrame, settings: Settings) -> DataFrame:
     pivot = F.lit(False)
     for i, m in enumerate(_MASKS):
         pivot = pivot | (F.col("node").bitwiseXOR(F.lit(m)) == F.col(f"p{i}"))
-    cut = cut.withColumn("pivot", pivot)
+    cut = materialise(cut.withColumn("pivot", pivot))
     everywhere = cut.where("pivot").withColumn("own", F.col("chunk")).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("own <> chunk").drop("own")
 
     def first(t: pa.Table) -> pa.Table:
@@ -263,13 +263,15 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     open_rows = materialise(labelled.join(open_, "grp"))
     if not open_rows.isEmpty():
         held = open_rows.join(classes.select("node", "sig", F.lit(0).alias("size")), "node")
-        more = within(held.select("grp", "node", "label", "size", "sig"), settings)
+        more = within(materialise(held.select("grp", "node", "label", "size", "sig")), settings)
         near = near.unionByName(more)
         clusters = components(near)
 
     # Full sets are made anew from the texts of clustered classes, each once.
     clustered = clusters.join(classes.select("node", "digest", "sig"), "node").select(F.col("component").alias("grp"), F.col("node"), "digest", "sig")
-    clustered = clustered.join(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), F.col("node") == F.col("doc_id")).select("text", "digest", "grp", "node", "sig")
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    texts = texts.where(sieve(clusters.select("node"))(F.col("doc_id")))  # so that few other texts are moved
+    clustered = clustered.join(texts, F.col("node") == F.col("doc_id")).select("text", "digest", "grp", "node", "sig")
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -289,10 +291,17 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
 
 def unique(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: B008
     """The rows, all their columns, of the documents that stay: one of each group. Of rows that repeat key and text one stays."""
-    mark, k = free_name(docs, "mark"), free_name(docs, "key")
-    stay = near_duplicates(docs, settings, key, text, mark).where("kept").select(F.col(key).alias(k), mark).distinct()
-    hashed = free_name(docs, "hash")
+    mark, k, twice = (free_name(docs, x) for x in ("mark", "key", "twice"))
+    rows = materialise(near_duplicates(docs, settings, key, text, mark).select(F.col(key).alias(k), mark, F.col("kept").alias("stays")))
+    rows = rows.groupBy(k, mark).agg(F.max("stays").alias("stays"), (F.count(F.lit(1)) > 1).alias(twice))
+    doubtful = materialise(rows.where(~F.col("stays") | F.col(twice)))
+    # A document whose text and key are certainly no doubtful ones stays as it is, without being moved; the others are looked up.
+    hashed, maybe = free_name(docs, "hash"), free_name(docs, "maybe")
+    both = lambda a, b: F.xxhash64(F.coalesce(a.cast("long"), F.lit(0)), b)
     own = docs.withColumn(hashed, F.xxhash64(text))
-    found = own.join(stay, own[key].eqNullSafe(stay[k]) & (own[hashed] == stay[mark]), "left_semi")
+    own = own.withColumn(maybe, sieve(doubtful.select(both(F.col(k), F.col(mark))))(both(F.col(key), F.col(hashed))))
+    asked = own.where(F.col(maybe))
+    found = asked.join(doubtful, asked[key].cast("long").eqNullSafe(doubtful[k]) & (asked[hashed] == doubtful[mark]), "left").where(F.coalesce("stays", F.lit(True)))
     turn = free_name(docs, "turn")
-    return found.withColumn(turn, F.row_number().over(Window.partitionBy(key, hashed).orderBy(F.lit(1)))).where(F.col(turn) == 1).drop(turn, hashed)
+    single = found.withColumn(turn, F.row_number().over(Window.partitionBy(key, hashed).orderBy(F.lit(1)))).where((F.col(turn) == 1) | ~F.coalesce(twice, F.lit(False)))
+    return own.where(~F.col(maybe)).select(docs.columns).unionByName(single.select(docs.columns))
