@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic examples are the positives; any other text is unlabelled, whatever labels say of it. A linear model over
-the presence of words and word beginnings is trained on the risk pi * R+(positives) + max(0, R-(unlabelled) - pi *
+the presence of words and word beginnings, and of beginnings that come twice, is trained on the risk pi * R+(positives) + max(0, R-(unlabelled) - pi *
 R-(positives)) with the logistic loss; where the second part falls below zero its gradient is turned round. pi, the share
 of toxic text, is that of the labels learned from.
 """
@@ -25,16 +25,26 @@ _EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_/\\"
 
 
 def features(text: str | None) -> set[str]:
-    """Distinct words without punctuation around them, and their first 4, 5 and 6 letters where they are longer."""
-    out = {w.strip(_EDGES) for w in set(words(text))}
-    return out | {f"{w[:n]}*" for w in out for n in (4, 5, 6) if len(w) > n}
+    """Distinct words without punctuation around them, and beginnings of 4, 5 and 6 letters of longer ones: once if any word has them, once more if two do."""
+    out, begun = set(), Counter()
+    for w, n in Counter(words(text)).items():
+        w = w.strip(_EDGES)
+        out.add(w)
+        for k in (4, 5, 6):
+            if len(w) > k:
+                begun[w[:k]] += n
+    for w, n in begun.items():
+        out.add(f"{w}*")
+        if n > 1:
+            out.add(f"{w}**")
+    return out
 
 
 def _kind(found: set[str]) -> int:
     """Alike for most near copies, which then count once in training."""
     plain = [w for w in found if not w.endswith("*")]
-    least = [min((xxhash.xxh32_intdigest(w, seed) for w in plain), default=0) for seed in (1, 2)]
-    return least[0] << 31 | least[1] >> 1
+    least = [min((xxhash.xxh32_intdigest(w, seed) for w in plain), default=0) for seed in (1, 2, 3, 4)]
+    return xxhash.xxh64_intdigest(repr(least)) >> 1
 
 
 @dataclass
@@ -80,12 +90,12 @@ def nnpu(p_rows: list[np.ndarray], u_rows: list[np.ndarray], n_features: int, pr
     return w, float(b)
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", positives: int = 4000, unlabelled: int = 12000, vocabulary: int = 50_000, least: int = 4, lift: float = 3.0, z: float = 5.0) -> Model:
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", positives: int = 4000, unlabelled: int = 12000, vocabulary: int = 50_000, least: int = 4, lift: float = 3.0, chance: float = 0.05) -> Model:
     """A model from about `positives` confirmed toxic rows and about `unlabelled` others at most, chosen by a hash of the key.
 
     Only rows outside the held-out fold are looked at. A key with several labels is toxic if one of them says so. Features
-    are those of at least `least` positives that are `lift` times as frequent among them as in unlabelled text, by `z`
-    standard deviations. Without any positive, no text is toxic.
+    are those of at least `least` positives that are `lift` times as frequent among them as in unlabelled text, and more
+    frequent than would come about for any of the candidates with that chance. Without any positive, no text is toxic.
     """
     known = labels.where(~held_out(F.col(key)) & F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max(F.col(label)).alias("y"))
     n_known, n_toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("y") == 1).cast("long")), F.lit(0))).first()
@@ -126,14 +136,16 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             p_rows.setdefault(r.kind, codes)
         if r.u:
             u_rows.setdefault(r.kind, codes)
-    return fit(names, list(p_rows.values()), list(u_rows.values()), prior, least, lift, z)
+    return fit(names, list(p_rows.values()), list(u_rows.values()), prior, least, lift, chance)
 
 
-def fit(names: list[str], p_rows: list[np.ndarray], u_rows: list[np.ndarray], prior: float, least: int = 4, lift: float = 3.0, z: float = 5.0) -> Model:
+def fit(names: list[str], p_rows: list[np.ndarray], u_rows: list[np.ndarray], prior: float, least: int = 4, lift: float = 3.0, chance: float = 0.05) -> Model:
     count = lambda rows: np.bincount(np.concatenate([np.zeros(0, np.int64), *rows]).astype(np.int64), minlength=len(names))
     in_p, in_u, n_p, n_u = count(p_rows), count(u_rows), max(len(p_rows), 1), max(len(u_rows), 1)
-    rate = (in_u + 0.5) / n_u
-    telling = (in_p >= least) & (in_p / n_p >= lift * rate) & (in_p - n_p * rate >= z * np.sqrt(n_p * rate))
+    expected = n_p * (in_u + 1) / n_u
+    with np.errstate(divide="ignore", invalid="ignore"):  # Chernoff's bound on a Poisson tail
+        surprise = np.where(in_p > expected, in_p * np.log(in_p / expected) - (in_p - expected), 0)
+    telling = (in_p >= least) & (in_p >= lift * expected) & (surprise >= np.log(max(len(names), 1) / chance))
     at = np.flatnonzero(telling)
     to = np.full(len(names), -1)
     to[at] = np.arange(len(at))
