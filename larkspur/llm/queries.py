@@ -67,6 +67,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scans, op2_nearest_neighbours, op3_minhash_near_dedup, op4_sentencepiece, op5_topk_search, op6_source_mixing, op7_toxicity, op8_quality_classifier, op9_warc, op10_sharding)}
 
 ORACLES: dict[str, str] = {
+    # CRC-32 by its table, which is made here from the polynomial.
+    "op10_sharding": """
+        WITH k AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+             b AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes,
+                          list_transform(range(25), lambda s: substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || s), 1, 13)) AS draw FROM documents),
+             s AS (SELECT doc_id, size, xor(list_reduce(list_concat([4294967295], bytes), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS text_crc32,
+                          list_position(draw[:24], list_max(draw[:24])) - 1 AS shard, list_position(draw, list_max(draw)) - 1 AS grown_shard FROM b, k)
+        SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, text_crc32) - 1 AS slot, grown_shard FROM s
+    """,
     "op3_minhash_near_dedup": r"""
         WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
              s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) = 1 THEN [ws[1]] ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS sh FROM w),
