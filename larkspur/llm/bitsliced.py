@@ -137,7 +137,7 @@ def search(index: DataFrame, queries: DataFrame, k: int, chunk: int = 128) -> Da
         if len(a) and len(b):
             row = {c: a[c][0].as_py() for c in a.column_names}
             low, places = np.frombuffer(row["low"], np.int64), np.frombuffer(row["places"], np.int64)
-            s = Slices(np.frombuffer(row["ids"], np.int64), low, places, np.frombuffer(row["slices"], np.uint64).reshape(row["dim"], -1, -(-row["rows"] // 64)))
+            s = Slices(np.frombuffer(row["ids"], np.int64), low, places, np.frombuffer(row["slices"], np.uint64).reshape(row["dim"], max(int(places.max(initial=0)), 1), -(-row["rows"] // 64)))
             for q, v in zip(b["id"].to_numpy(), matrix(b["v"], row["dim"]).astype(np.int64), strict=True):
                 ids, scores = s.top(v, k, int(q))
                 out.append((np.full(len(ids), q), ids, scores))

@@ -46,7 +46,7 @@ def met(index: DataFrame, queries: DataFrame, chunk: int, f: Callable[[pa.Table,
 
 def matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
     flat = column.combine_chunks().flatten() if column.num_chunks else pa.array([], pa.float64())
-    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), dim)
 
 
 def best(found: DataFrame, k: int, score: Column | str) -> DataFrame:

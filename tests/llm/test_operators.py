@@ -162,7 +162,7 @@ def test_slices_of_wide_and_equal_values():
 @pytest.mark.parametrize("shard", [100, 1 << 13])
 def test_hnsw(spark, shard):
     rows = vector_rows()
-    rows[7] = (7, [100 * x for x in rows[7][1]], 0)  # lengths differ: the largest inner product is not the nearest
+    rows[7] = (7, [float(np.float32(100 * x)) for x in rows[7][1]], 0)  # lengths differ: the largest inner product is not the nearest
     v = hnsw.vectors(spark.createDataFrame(rows, VECTORS).withColumn("id", F.lit("x")))
     got = ranked(hnsw.search(hnsw.build(v, shard), v.where(F.col("id") % 20 == 0), 20, width=128, chunk=9).collect())
     want = {q: x for q, x in brute(rows, 20, 20, any, lambda a, b: float(np.dot(np.float64(a), np.float64(b)))).items() if x}
