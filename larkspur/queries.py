@@ -37,8 +37,8 @@ def query(oracle: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Q
 
 _SIGHTED = ("posts_from_records", "posts_from_targets")
 _REST = "author_did_id, rkey, created_at, reply_root_uri_id, reply_parent_uri_id, quote_uri_id"
-_UNION = f"SELECT uri_id, {_REST}, 'record' AS source FROM posts_from_records UNION ALL SELECT uri_id, {_REST}, 'target_only' FROM posts_from_targets"
-POSTS = f"SELECT uri_id, {', '.join(f"arg_max({c}, source = 'record') AS {c}" for c in _REST.split(', '))}, min(source) AS source FROM ({_UNION}) GROUP BY uri_id"
+_UNION = "SELECT *, 'record' AS source FROM posts_from_records UNION ALL BY NAME SELECT *, 'target_only' AS source FROM posts_from_targets"
+POSTS = f"SELECT uri_id, {', '.join(f"coalesce(max({c}) FILTER (WHERE source = 'record'), max({c})) AS {c}" for c in _REST.split(', '))}, min(source) AS source FROM ({_UNION}) GROUP BY uri_id"
 _P = (*_SIGHTED, "posts")
 
 
@@ -115,7 +115,7 @@ def join_left_reposts(spark, d):
 
 
 _RESOLVED = "SELECT post_uri_id, rpath, uri_id FROM lt_post_refs JOIN t_post_refs USING (target_id)"
-_PIVOTED = f"SELECT post_uri_id, max(CASE WHEN rpath = '.reply.root.uri' THEN uri_id END) AS reply_root_uri_id, max(CASE WHEN rpath = '.reply.parent.uri' THEN uri_id END) AS reply_parent_uri_id, max(CASE WHEN rpath = '.embed.record.uri' THEN uri_id END) AS embed_uri_id, max(CASE WHEN rpath = '.embed.recordWithMedia.record.record.uri' THEN uri_id END) AS embed_media_uri_id FROM ({_RESOLVED}) GROUP BY post_uri_id"
+_PIVOTED = f"SELECT post_uri_id, {', '.join(f"max(uri_id) FILTER (WHERE rpath = '{path}') AS {name}" for path, name in edges.REF_COLUMNS.items())} FROM ({_RESOLVED}) GROUP BY post_uri_id"
 
 
 @query(_RESOLVED, ("lt_post_refs", "t_post_refs"))
@@ -152,7 +152,7 @@ def build_posts(spark, d):
     return _posts(spark, d)
 
 
-_BY_AUTHOR = "SELECT author_did_id AS did_id, count(*) AS posts, count(*) FILTER (WHERE reply_parent_uri_id IS NOT NULL) AS replies_out, count(*) FILTER (WHERE quote_uri_id IS NOT NULL) AS quotes_out FROM posts GROUP BY 1"
+_BY_AUTHOR = "SELECT author_did_id AS did_id, count(*) AS posts, count(reply_parent_uri_id) AS replies_out, count(quote_uri_id) AS quotes_out FROM posts GROUP BY author_did_id"
 
 
 @query(_BY_AUTHOR, _P)
@@ -253,7 +253,7 @@ def post_aggs_dry_run(spark, d):
 
 # Checks and questions
 
-_ORPHANS = "SELECT CAST(sum(CASE WHEN p.uri_id IS NULL THEN 1 ELSE 0 END) AS DOUBLE) / greatest(count(*), 1) AS orphan_rate FROM {} e LEFT JOIN posts p ON p.uri_id = e.subject_uri_id"
+_ORPHANS = "SELECT CAST(count(*) - count(*) FILTER (WHERE subject_uri_id IN (SELECT uri_id FROM posts)) AS DOUBLE) / count(*) AS orphan_rate FROM {}"
 
 
 @query(_ORPHANS.format("likes"), (*_P, "likes"))
@@ -274,15 +274,15 @@ def follows_on_day(spark, d):
     return aggregates.follows_on_day(view(spark, d, "follows"), DAY)
 
 
-@query(f"SELECT CAST(100.0 * sum(CASE WHEN {_ON_DAY} THEN 1 ELSE 0 END) / count(*) AS DOUBLE) AS pct FROM follows", ("follows",))
+@query(f"SELECT CAST(100 * count(*) FILTER (WHERE {_ON_DAY}) AS DOUBLE) / count(*) AS pct FROM follows", ("follows",))
 def pct_follows_on_day(spark, d):
     return aggregates.share_on_day(view(spark, d, "follows"), DAY)
 
 
-_LIKED = "FROM posts p WHERE EXISTS (SELECT 1 FROM likes l WHERE l.subject_uri_id = p.uri_id)"
+_LIKED = "FROM posts WHERE uri_id IN (SELECT subject_uri_id FROM likes)"
 
 
-@query(f"SELECT count(DISTINCT p.author_did_id) AS n {_LIKED}", (*_P, "likes"))
+@query(f"SELECT count(DISTINCT author_did_id) AS n {_LIKED}", (*_P, "likes"))
 def posters_with_likes(spark, d):
     return aggregates.liked_posts(_posts(spark, d), view(spark, d, "likes")).agg(F.countDistinct("author_did_id").alias("n"))
 
