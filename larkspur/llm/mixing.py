@@ -95,8 +95,8 @@ def pivotal(size: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> tuple[
     return p, at
 
 
-def mix(df: DataFrame, weights: Sequence[float] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, key: str = "doc_id", text: str = "text", source: str = "source", group: int = 1024, fan_in: int = 64, seed: int = 11, prefix: str = "mix") -> DataFrame:
-    """All rows and columns, and <prefix>_size, <prefix>_source_size, <prefix>_target, <prefix>_copies.
+def mix(df: DataFrame, weights: Sequence[float] = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, key: str = "doc_id", text: str = "text", source: str = "source", group: int = 1024, fan_in: int = 64, seed: int = 11, prefix: str = "mix", drop: Sequence[str] = ()) -> DataFrame:
+    """All rows and columns but those to drop, and <prefix>_size, <prefix>_source_size, <prefix>_target, <prefix>_copies.
 
     Size is the number of words; null texts and empty ones have none and get 0 copies. Null sources are
     one source. Repeated rows are rounded apart. An empty table gives no rows. The outcome depends on
@@ -109,7 +109,7 @@ def mix(df: DataFrame, weights: Sequence[float] = (3.0, 1.0, 2.0), share: float
     spark = df.sparkSession
     size, total, target, copies = (f"{prefix}_{x}" for x in ("size", "source_size", "target", "copies"))
     h, b, p, src = (free_name(df, x) for x in ("h", "b", "p", "src"))
-    rows = df.withColumn(size, word_count(F.col(text)))
+    rows = df.withColumn(size, word_count(F.col(text))).drop(*drop)
     sizes = rows.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("source_size"), F.count(F.lit(1)).alias("n"))
     plan = materialise(targets(sizes, weights, share, most).select(F.col("source").alias(src), F.col("source_size").alias(total), F.col("target").alias(target), F.col("n").alias(b)))
     rows = rows.join(small(plan, plan.count()), F.col(source).eqNullSafe(F.col(src))).drop(src)

@@ -41,7 +41,7 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    sized = mixing.mix(docs)
+    sized = mixing.mix(docs, drop=["text"])
     return sized.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
 
 
