@@ -5,10 +5,7 @@ from __future__ import annotations
 import math
 import re
 import tempfile
-from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
@@ -46,6 +43,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def lean(df: DataFrame) -> DataFrame:
+    """The frame, with at most 8 MB of rows handed to Python at once in its session, unless the session says otherwise than Spark does.
+
+    Long texts make Spark's 64 MB batches the largest thing in a worker's and in an executor's memory.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(name) in ("67108864b", "67108864", "64m", "64MB"):
+        conf.set(name, "8m")
+    return df
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint if the table, of known row count, is within BROADCAST_ROWS; else the planner's choice."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
@@ -78,25 +86,19 @@ def with_field(df: DataFrame, name: str, kind: DataType) -> StructType:
     return StructType([*df.schema.fields, StructField(name, kind)])
 
 
-def sieve(keys: DataFrame, seed: int = 23) -> Callable[[Column], Column]:
-    """A test for a BIGINT column that is true wherever the value is among the keys (one BIGINT column), and seldom elsewhere.
+def sifted(df: DataFrame, value: Column, keys: DataFrame, name: str, seed: int = 23) -> DataFrame:
+    """The rows with a boolean column more: true wherever the BIGINT value is among the keys (one BIGINT column), and seldom elsewhere.
 
-    It is a bitmap of 16 bits a key, 8 MB at most whatever their number, so that it can be broadcast; what it lets pass wrongly
-    has to be told apart by a join, which then moves few rows. Null is never among the keys.
+    The keys become a bitmap of 16 bits each, 2**26 bits at most whatever their number, which is broadcast in words of 64: 2**20
+    narrow rows at most. No row is moved; what passes wrongly has to be told apart by a join, which then moves few rows.
     """
-    spark = keys.sparkSession
+    word, bit, held = (free_name(df, x) for x in ("word", "bit", "held"))
     hashed = keys.select(F.xxhash64(F.lit(seed), keys[keys.columns[0]]).alias("h"))
     bits = 1 << int(min(max(16, math.ceil(math.log2(max(hashed.count(), 1) * 16))), 26))
-    at = hashed.select(F.col("h").bitwiseAND(F.lit(bits - 1)).alias("p")).select(F.shiftright("p", 6).alias("w"), F.col("p").bitwiseAND(F.lit(63)).cast("int").alias("i"))
-    found = at.groupBy("w").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("i"))).alias("v")).toArrow()
-    words = np.zeros(bits // 64, np.int64)
-    words[found["w"].to_numpy()] = found["v"].to_numpy()
-    held = spark.sparkContext.broadcast(words.tobytes())
-
-    @F.arrow_udf("boolean")
-    def among(h: pa.Array) -> pa.Array:
-        bitmap = np.frombuffer(held.value, np.uint64)
-        p = h.to_numpy(zero_copy_only=False).view(np.uint64) & np.uint64(bits - 1)
-        return pa.array((bitmap[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool))
-
-    return lambda column: among(F.xxhash64(F.lit(seed), column))
+    place = lambda h: F.shiftright(h.bitwiseAND(F.lit(bits - 1)), 6)
+    within = lambda h: h.bitwiseAND(F.lit(63)).cast("int")
+    words_ = hashed.groupBy(place(F.col("h")).alias(word)).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), within(F.col("h")))).alias(held))
+    h = F.xxhash64(F.lit(seed), value)
+    found = df.withColumn(word, place(h)).withColumn(bit, within(h)).join(F.broadcast(materialise(words_)), word, "left")
+    is_set = F.call_function("shiftright", F.col(held), F.col(bit)).bitwiseAND(F.lit(1)) == 1
+    return found.withColumn(name, F.coalesce(is_set, F.lit(False))).select(*[df[c] for c in df.columns], name)

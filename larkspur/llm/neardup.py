@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import free_name, materialise, sieve
+from larkspur.llm.common import free_name, lean, materialise, sifted
 from larkspur.llm.components import components
 from larkspur.llm.shingles import MinHash, digest, sets
 
@@ -246,7 +246,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     such rows are kept. An empty table gives no rows. Other columns are ignored. mark: a further column of this name, the text's
     xxhash64, by which unique() finds the row again.
     """
-    rows = materialise(_signed(docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")), settings))
+    rows = materialise(_signed(lean(docs).select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")), settings))
     seen = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
     classes = rows.join(seen.where("node is not null").withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("node"))).select("node", "digest", "n", "bands", "sig").dropDuplicates(["digest"])
     classes = materialise(classes)
@@ -270,7 +270,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
     # Full sets are made anew from the texts of clustered classes, each once.
     clustered = clusters.join(classes.select("node", "digest", "sig"), "node").select(F.col("component").alias("grp"), F.col("node"), "digest", "sig")
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    texts = texts.where(sieve(clusters.select("node"))(F.col("doc_id")))  # so that few other texts are moved
+    texts = sifted(texts, F.col("doc_id"), clusters.select("node"), "maybe").where("maybe")  # so that few other texts are moved
     clustered = clustered.join(texts, F.col("node") == F.col("doc_id")).select("text", "digest", "grp", "node", "sig")
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,17 +291,17 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
 
 def unique(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: B008
     """The rows, all their columns, of the documents that stay: one of each group. Of rows that repeat key and text one stays."""
-    mark, k, twice = (free_name(docs, x) for x in ("mark", "key", "twice"))
-    rows = materialise(near_duplicates(docs, settings, key, text, mark).select(F.col(key).alias(k), mark, F.col("kept").alias("stays")))
-    rows = rows.groupBy(k, mark).agg(F.max("stays").alias("stays"), (F.count(F.lit(1)) > 1).alias(twice))
-    doubtful = materialise(rows.where(~F.col("stays") | F.col(twice)))
+    mark, k, twice, stays = (free_name(docs, x) for x in ("mark", "key", "twice", "stays"))
+    rows = materialise(near_duplicates(docs, settings, key, text, mark).select(F.col(key).alias(k), mark, F.col("kept").alias(stays)))
+    rows = rows.groupBy(k, mark).agg(F.max(stays).alias(stays), (F.count(F.lit(1)) > 1).alias(twice))
+    doubtful = materialise(rows.where(~F.col(stays) | F.col(twice)))
     # A document whose text and key are certainly no doubtful ones stays as it is, without being moved; the others are looked up.
     hashed, maybe = free_name(docs, "hash"), free_name(docs, "maybe")
     both = lambda a, b: F.xxhash64(F.coalesce(a.cast("long"), F.lit(0)), b)
     own = docs.withColumn(hashed, F.xxhash64(text))
-    own = own.withColumn(maybe, sieve(doubtful.select(both(F.col(k), F.col(mark))))(both(F.col(key), F.col(hashed))))
+    own = sifted(own, both(F.col(key), F.col(hashed)), doubtful.select(both(F.col(k), F.col(mark))), maybe)
     asked = own.where(F.col(maybe))
-    found = asked.join(doubtful, asked[key].cast("long").eqNullSafe(doubtful[k]) & (asked[hashed] == doubtful[mark]), "left").where(F.coalesce("stays", F.lit(True)))
+    found = asked.join(doubtful, asked[key].cast("long").eqNullSafe(doubtful[k]) & (asked[hashed] == doubtful[mark]), "left").where(F.coalesce(stays, F.lit(True)))
     turn = free_name(docs, "turn")
     single = found.withColumn(turn, F.row_number().over(Window.partitionBy(key, hashed).orderBy(F.lit(1)))).where((F.col(turn) == 1) | ~F.coalesce(twice, F.lit(False)))
     return own.where(~F.col(maybe)).select(docs.columns).unionByName(single.select(docs.columns))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import held_out, share_of, small, words
+from larkspur.llm.common import held_out, lean, share_of, small, words
 
 BITS = 18
 
@@ -109,7 +109,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             pairs = [hashed(x.as_py()) for x in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([p[i].tobytes() for p in pairs], pa.binary()) for i in (0, 1)] + [batch.column(1)], ["at", "value", "y"])
 
-    got = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(chosen, F.col("key") == F.col("k")).select("text", "y").mapInArrow(coded, "at binary, value binary, y double").orderBy("y", "at", "value")
+    got = lean(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).join(chosen, F.col("key") == F.col("k")).select("text", "y").mapInArrow(coded, "at binary, value binary, y double").orderBy("y", "at", "value")
     sample, y = [], []
     for r in got.toLocalIterator():
         sample.append((np.frombuffer(r.at, np.int32), np.frombuffer(r.value, np.float32)))
@@ -134,5 +134,5 @@ def grade(docs: DataFrame, model: Model, target: float | None = None, least: flo
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(expected, pa.float64()), pa.array(tail, pa.float64())], [key, "held_out", "expected_grade", "tail_prob"])
 
     kind = docs.schema[key].dataType.simpleString()
-    out = docs.select(key, text, held_out(F.col(key)).alias("held_out")).mapInArrow(graded, f"`{key}` {kind}, held_out boolean, expected_grade double, tail_prob double")
+    out = lean(docs).select(key, text, held_out(F.col(key)).alias("held_out")).mapInArrow(graded, f"`{key}` {kind}, held_out boolean, expected_grade double, tail_prob double")
     return out.withColumn("kept", F.coalesce(F.col("tail_prob") >= least, F.lit(True)))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from larkspur.llm.common import free_name, with_field
+from larkspur.llm.common import free_name, lean, with_field
 
 #: The base patterns, letters of the keywords in either case (ASCII only), and the least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -200,7 +200,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *counts, digest, pa.array([_joined(s) for s in all_], pa.string())], [key, "n_assign", "n_access", "n_hex", "base_sha256", "spans"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(found, f"`{key}` {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return lean(docs).select(key, text).mapInArrow(found, f"`{key}` {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
 def redacted(docs: DataFrame, text: str = "text", chars: str | None = "n_chars") -> DataFrame:
@@ -212,7 +212,7 @@ def redacted(docs: DataFrame, text: str = "text", chars: str | None = "n_chars")
             i = batch.schema.get_field_index(text)
             yield batch.append_column(clean, pa.array([redact(x.as_py()) for x in batch.column(i)], pa.string()))
 
-    out = docs.mapInArrow(masked, with_field(docs, clean, StringType()))
+    out = lean(docs).mapInArrow(masked, with_field(docs, clean, StringType()))
     if chars in docs.columns:
         out = out.withColumn(chars, F.when(F.col(clean).eqNullSafe(F.col(text)), F.col(chars)).otherwise(F.length(clean).cast(docs.schema[chars].dataType)))
     return out.withColumn(text, F.col(clean)).drop(clean)

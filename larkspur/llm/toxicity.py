@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from larkspur.llm.common import held_out, share_of, small, with_field, words
+from larkspur.llm.common import held_out, lean, share_of, small, with_field, words
 
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_/\\"
 
@@ -90,6 +90,10 @@ def nnpu(p_rows: list[np.ndarray], u_rows: list[np.ndarray], n_features: int, pr
     return w, float(b)
 
 
+def _rows(n: Counter[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"f": pa.array(list(n.keys()), pa.string()), "n": pa.array(list(n.values()), pa.int64())})
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", positives: int = 4000, unlabelled: int = 12000, vocabulary: int = 50_000, least: int = 4, lift: float = 3.0, chance: float = 0.05) -> Model:
     """A model from about `positives` confirmed toxic rows and about `unlabelled` others at most, chosen by a hash of the key.
 
@@ -103,16 +107,18 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         return Model({}, -6.0, 0.0)
     prior = float(np.clip(n_toxic / n_known, 0.001, 0.9))
     toxic = known.where((F.col("y") == 1) & share_of(F.col("k"), positives / n_toxic, 3)).select("k", F.lit(1).alias("p"))
-    pool = docs.where(~held_out(F.col(key))).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    pool = lean(docs).where(~held_out(F.col(key))).select(F.col(key).alias("key"), F.col(text).alias("text"))
     part = unlabelled / max(pool.count(), 1)
     toxic = small(toxic, positives)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n: Counter[str] = Counter()
-        for batch in batches:
-            for x in batch.column(0):
-                n.update(features(x.as_py()))
-        yield pa.RecordBatch.from_pydict({"f": pa.array(list(n.keys()), pa.string()), "n": pa.array(list(n.values()), pa.int64())})
+        for x in (x for batch in batches for x in batch.column(0)):
+            n.update(features(x.as_py()))
+            if len(n) > 50_000:
+                yield _rows(n)
+                n = Counter()
+        yield _rows(n)
 
     often = pool.join(toxic, F.col("key") == F.col("k")).select("text").mapInArrow(counted, "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
     names = [r.f for r in often.where(F.col("n") >= least).orderBy(F.desc("n"), "f").limit(vocabulary).collect()]
@@ -162,4 +168,4 @@ def score(docs: DataFrame, model: Model, column: str = "score", text: str = "tex
             i = batch.schema.get_field_index(text)
             yield batch.append_column(column, pa.array([model.score(x.as_py()) for x in batch.column(i)], pa.float64()))
 
-    return docs.mapInArrow(scored, with_field(docs, column, DoubleType()))
+    return lean(docs).mapInArrow(scored, with_field(docs, column, DoubleType()))

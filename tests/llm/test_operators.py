@@ -23,7 +23,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 def docs(spark, rows):
     """(doc_id, text[, source]) as documents, with a column that no operator knows and names that some use inside."""
     full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1]) if r[1] is not None else None) for r in rows]
-    return spark.createDataFrame(full, DOCS).withColumn("node", F.lit("x")).withColumn("_clean", F.lit(1)).withColumn("score", F.lit("mine")).withColumn("mix_size", F.lit(None).cast("int"))
+    return spark.createDataFrame(full, DOCS).withColumn("node", F.lit("x")).withColumn("_clean", F.lit(1)).withColumn("score", F.lit("mine")).withColumn("mix_size", F.lit(None).cast("int")).withColumn("stays", F.lit(False))
 
 
 AWKWARD = [(1, None, None), (2, "", "b"), (2, "", "b"), (None, "a word", "b"), (None, None, None), (3, " \t\n\x0b", "b"), (4, "Ünïcode 🙂 " * 3, None), (5, "long " + "w%d " * 3 % (1, 2, 3), "a"), (6, " ".join(f"word{i}" for i in range(60_000)), "a"), (-7, "x", "é")]
