@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import materialise
+from larkspur.llm.common import lean, materialise, sifted
 
 #: Fixed values of the seekable format and of WARC.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -107,14 +107,20 @@ def _number(name: str) -> int | None:
 
 
 def first_seen(pages: DataFrame, least: int = 100) -> DataFrame:
-    """page_id, url, payload, digest, refers_to: null for responses, else the smallest page_id with that payload."""
+    """page_id, url, payload, digest, refers_to: null for responses, else the smallest page_id with that payload.
+
+    Payloads are told apart by digest in narrow rows. Pages that are certainly no revisits are not moved; the others are looked up.
+    """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    p = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
-    seen = p.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    # The rows that meet on a digest are narrow; the pages themselves are dealt by page_id, which no payload makes hot.
-    again = pages.select("page_id", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).alias("bytes")).where(F.col("bytes") >= least).select("page_id", "digest")
-    revisits = again.join(seen.where("n > 1 and first is not null").drop("n"), "digest").where(~F.col("page_id").eqNullSafe(F.col("first"))).select("page_id", "digest", F.col("first").alias("refers_to")).distinct()
-    return p.join(revisits.withColumnsRenamed({"page_id": "rid", "digest": "rd"}), F.col("page_id").eqNullSafe(F.col("rid")) & (F.col("digest") == F.col("rd")), "left").select("page_id", "url", "payload", "digest", "refers_to")
+    own = lean(pages).select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
+    narrow = materialise(own.where(F.octet_length("payload") >= least).select("page_id", "digest"))
+    seen = narrow.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 and refers_to is not null").drop("n")
+    revisits = materialise(narrow.join(seen, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).distinct())
+    key = F.xxhash64("page_id", "digest")
+    own = sifted(own, key, revisits.select(key), "maybe")
+    asked = own.where("maybe").drop("maybe")
+    found = asked.join(revisits.withColumnsRenamed({"page_id": "rid", "digest": "rd"}), F.col("page_id").eqNullSafe(F.col("rid")) & (F.col("digest") == F.col("rd")), "left").drop("rid", "rd")
+    return own.where("not maybe").drop("maybe").withColumn("refers_to", F.lit(None).cast("long")).unionByName(found)
 
 
 def write(pages: DataFrame, least: int = 100, frame_bytes: int = 1 << 18, bundle_bytes: int = 1 << 22, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
