@@ -14,10 +14,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import share_of
+from larkspur.llm.common import lean, share_of
 
 MARK = "▁"
 #: Fixed values of the model format: piece types and model types.
@@ -119,26 +120,47 @@ class Model:
         return text
 
 
+class Joiner:
+    """A quick check of decoding, which joins pieces and ASCII bytes; texts with other bytes or what is no text go to the library."""
+
+    def __init__(self, model: Model, tokenizer) -> None:
+        self.texts = [p.replace(MARK, " ") if t in (NORMAL, USER) else chr(int(p[3:5], 16)) if t == BYTE and p[3] < "8" else None for p, _, t in model.pieces]
+        self.strip, self.tokenizer = model.dummy_prefix, tokenizer
+
+    def decode(self, batch: list[list[int]]) -> list[str]:
+        out: list[str | None] = []
+        texts, hard = self.texts, []
+        for k, ids in enumerate(batch):
+            try:
+                joined = "".join([texts[i] for i in ids])
+                out.append(joined[1:] if self.strip and joined[:1] == " " else joined)
+            except TypeError:  # a None among them
+                out.append(None)
+                hard.append(k)
+        for k, text in zip(hard, self.tokenizer.decode_batch([batch[k] for k in hard], skip_special_tokens=False), strict=True):
+            out[k] = text
+        return out
+
+
 @functools.lru_cache(maxsize=2)
 def _loaded(data: bytes, threads: int):
     os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
     os.environ["RAYON_NUM_THREADS"] = str(threads)
     model = Model.parse(data)
-    return model, model.tokenizer()
+    tokenizer = model.tokenizer()
+    return model, tokenizer, Joiner(model, tokenizer)
 
 
-def _parts(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
-    """Runs of texts of about a million characters, so that what is encoded at once is bounded."""
-    part: list[str] = []
-    n = 0
-    for x in texts:
-        part.append(x)
-        n += len(x)
-        if n >= most or len(part) >= 1024:
-            yield part
-            part, n = [], 0
-    if part:
-        yield part
+def _parts(column: pa.Array, most: int = 1 << 18) -> Iterator[pa.Array]:
+    """Runs of texts of about 256 KB, so that what is encoded at once is bounded."""
+    at = n = 0
+    for i, length in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        n += length
+        if n >= most or i - at >= 1023:
+            yield column.slice(at, i + 1 - at)
+            at, n = i + 1, 0
+    if at < len(column):
+        yield column.slice(at)
 
 
 def encode(docs: DataFrame, model_path: str, threads: int = 2, verify: float = 0.125, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -152,25 +174,26 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2, verify: float = 0
         data = f.read()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, tokenizer = _loaded(data, threads)
+        model, tokenizer, joiner = _loaded(data, threads)
         import sentencepiece
 
         other = sentencepiece.SentencePieceProcessor(model_proto=data)
         for batch in batches:
             at = 0
-            for part in _parts([x or "" for x in batch.column(1).to_pylist()]):
+            for texts in _parts(batch.column(1)):
+                part = [x or "" for x in texts.to_pylist()]
                 ids = [e.ids for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
                 checked = [i for i, x in enumerate(batch.column(2).slice(at, len(part)).to_pylist()) if x]
                 for i, got in zip(checked, other.encode([part[i] for i in checked], num_threads=1), strict=True):
                     if got != ids[i]:
                         raise ValueError(f"{batch.column(0)[at + i]}: {len(got)} ids by sentencepiece, {len(ids[i])} here, or others")
-                back = tokenizer.decode_batch(ids, skip_special_tokens=False)
+                back = joiner.decode(ids)
                 same = [None if model.charsmap else a == model.plain(b) for a, b in zip(back, part, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array([len(x) for x in ids], pa.int32()), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())], [key, "n_tokens", "ids", "round_trip"])
                 at += len(part)
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text, share_of(F.col(key), verify, 17).alias("checked")).mapInArrow(encoded, f"`{key}` {kind}, n_tokens int, ids array<int>, round_trip boolean")
+    return lean(docs).select(key, text, share_of(F.col(key), verify, 17).alias("checked")).mapInArrow(encoded, f"`{key}` {kind}, n_tokens int, ids array<int>, round_trip boolean")
 
 
 def decode(rows: DataFrame, model_path: str, threads: int = 2, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -179,11 +202,11 @@ def decode(rows: DataFrame, model_path: str, threads: int = 2, key: str = "doc_i
         data = f.read()
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, tokenizer = _loaded(data, threads)
+        _, tokenizer, _ = _loaded(data, threads)
         for batch in batches:
             got = batch.column(1).to_pylist()
             texts = tokenizer.decode_batch([x or [] for x in got], skip_special_tokens=False)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([None if x is None else t for x, t in zip(got, texts, strict=True)], pa.string())], [key, "text"])
 
     kind = rows.schema[key].dataType.simpleString()
-    return rows.select(key, ids).mapInArrow(decoded, f"`{key}` {kind}, text string")
+    return lean(rows).select(key, ids).mapInArrow(decoded, f"`{key}` {kind}, text string")
