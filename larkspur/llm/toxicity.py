@@ -53,10 +53,25 @@ class Model:
     bias: float
     prior: float
 
+    def __post_init__(self) -> None:
+        #: First letters of the beginnings that tell; most words have none of them.
+        self.heads = {f[:4] for f in self.weights if f.endswith("*")}
+
     def score(self, text: str | None) -> float:
-        """0 to 1 over the whole text; a null or empty text gets what no evidence gives."""
-        get = self.weights.get
-        z = self.bias + sum(get(f, 0.0) for f in features(text))
+        """0 to 1 over the whole text; a null or empty text gets what no evidence gives. The weights of all features() are summed, without making those that tell nothing."""
+        weights, heads = self.weights, self.heads
+        hits: set[str] = set()
+        begun: Counter[str] = Counter()
+        for w, n in Counter(words(text)).items():
+            w = w.strip(_EDGES)
+            if w in weights:
+                hits.add(w)
+            if w[:4] in heads:
+                for k in (4, 5, 6):
+                    if len(w) > k:
+                        begun[w[:k]] += n
+        z = self.bias + sum(weights[w] for w in hits)
+        z += sum(weights.get(f"{w}*", 0.0) + (weights.get(f"{w}**", 0.0) if n > 1 else 0.0) for w, n in begun.items())
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 

@@ -395,6 +395,9 @@ def test_toxicity(spark):
     held = [(truth[r.doc_id], r.p >= 0.5) for r in got if truth.get(r.doc_id) is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     assert sum(a == b for a, b in held) / len(held) > 0.95
     assert all(r.p < 0.5 for r in got if not r.text)
+    for r in got[:200]:
+        z = model.bias + sum(model.weights.get(f, 0.0) for f in toxicity.features(r.text))
+        assert abs(r.p - 1 / (1 + np.exp(-z))) < 1e-9
     # Labels of the held-out fold change nothing, and labels, language and source are no inputs.
     other = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert toxicity.train(d, other).weights == model.weights
