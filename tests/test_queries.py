@@ -39,12 +39,12 @@ def test_scan_reads_only_what_it_needs(spark):
 
 
 def test_aggregates_hold_together(spark):
-    from larkspur.queries import _graph, _post_aggs
     from larkspur.plans.graphviews import view
+    from larkspur.queries import _graph, _post_aggs
 
     g = _graph(spark, DIR)
     per_post = _post_aggs(g)
-    subjects = view(spark, DIR, "likes").join(g["posts"], view(spark, DIR, "likes").subject_uri_id == g["posts"].uri_id)
+    subjects = g["likes"].join(g["posts"], g["likes"].subject_uri_id == g["posts"].uri_id)
     assert per_post.agg({"likes": "sum"}).first()[0] == subjects.count()
     assert per_post.count() == g["posts"].count() == g["posts"].select("uri_id").distinct().count()
     assert QUERIES["actor_aggs"](spark, DIR).count() == g["actors"].count()
