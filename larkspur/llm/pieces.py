@@ -163,12 +163,12 @@ def _parts(column: pa.Array, most: int = 1 << 18) -> Iterator[pa.Array]:
         yield column.slice(at)
 
 
-def encode(docs: DataFrame, model_path: str, threads: int = 2, verify: float = 0.125, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model_path: str, threads: int = 2, verify: float = 1.0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, n_tokens, ids (array of int), round_trip (decoding gives the normalised text again).
 
     Null texts encode like empty ones, to no ids. Repeated rows are kept, an empty table gives no rows, other columns are
-    ignored. verify: the share of keys, chosen by a hash, whose ids are held against the sentencepiece library's; any difference
-    fails the job. The model file is read on the driver and sent along.
+    ignored. verify: the share of keys, chosen by a hash, whose ids are held against the sentencepiece library's, all of them unless
+    a caller asks for less; any difference fails the job. The model file is read on the driver and sent along.
     """
     with open(model_path, "rb") as f:
         data = f.read()

@@ -295,6 +295,27 @@ def test_pieces(spark):
     assert pieces.encode(docs(spark, []), queries.TOKENIZER).count() == 0
 
 
+def test_queries_verify_every_text(spark, tmp_path, monkeypatch):
+    import corpus_pipeline as cp
+    from larkspur.llm.common import share_of
+
+    def crooked(data, threads):
+        from types import SimpleNamespace
+
+        from larkspur.llm.pieces import _loaded
+
+        model, tokenizer, joiner = _loaded(data, threads)
+        wrong = lambda batch, add_special_tokens: [SimpleNamespace(ids=[*e.ids, 0]) for e in tokenizer.encode_batch_fast(batch, add_special_tokens=add_special_tokens)]
+        return model, SimpleNamespace(encode_batch_fast=wrong), joiner
+
+    unchecked = spark.range(64).where(~share_of(F.col("id"), 0.125, 17)).first().id  # not in the eighth that was once verified
+    docs(spark, [(unchecked, "a text")]).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(pieces, "_loaded", crooked)
+    for run in (queries.op4_sentencepiece, lambda spark, folder: cp.encode(spark, table(spark, folder, "documents"), folder)):
+        with pytest.raises(Exception, match="ids by sentencepiece"):
+            run(spark, str(tmp_path)).collect()
+
+
 def field(number, value):
     if isinstance(value, int):
         return bytes([number << 3, value])
