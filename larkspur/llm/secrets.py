@@ -9,11 +9,11 @@ JSON with an algorithm.
 from __future__ import annotations
 
 import base64
-import binascii
+import functools
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,11 +30,16 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 KINDS = ("assign", "access", "hex", "token", "openssh", "der")
 
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
-#: Base64 or base64url of 48+ characters, perhaps wrapped in lines.
-BASE64 = re.compile(r"(?:[A-Za-z0-9+/_-]{16,}(?:\r?\n)?)*[A-Za-z0-9+/_-]{16,}(?:\r?\n[A-Za-z0-9+/_-]+)?={0,2}")
+#: What may part the lines of an encoded key.
+WRAP = r"\r?\n"
+WRAPS = re.compile(WRAP)
+#: Where a key in base64 or base64url may begin: a SEQUENCE (M) or OpenSSH's magic (b3B).
+START = re.compile(rf"(?<![A-Za-z0-9+/_-])(?:M(?=(?:{WRAP})?[A-I])|b(?=(?:{WRAP})?3(?:{WRAP})?B))")
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]+")
+PADS = [re.compile(rf"(?:{WRAP})?{'=' * n}") if n else re.compile("") for n in range(3)]
 DER_HEX = re.compile(r"(?i:(?<![0-9a-f])30(?:8[1-4])?[0-9a-f]{32,})")
-BASE64_LEAST = 48
 OPENSSH = b"openssh-key-v1\x00"
+STANDARD = str.maketrans("-_", "+/")
 #: Algorithm identifiers of private keys: RSA, elliptic curve, DSA, X25519, X448, Ed25519, Ed448.
 KEY_OIDS = {bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce3d0201", "2a8648ce380401", "2b656e", "2b656f", "2b6570", "2b6571")}
 
@@ -122,14 +127,87 @@ def is_token(text: str) -> bool:
     return all(isinstance(x, dict) for x in decoded) and isinstance(decoded[0].get("alg"), str) and decoded[0]["alg"].lower() != "none" and len(signature) >= 16
 
 
-def _decoded(run: str) -> bytes | None:
-    run = re.sub(r"\s", "", run).rstrip("=").replace("-", "+").replace("_", "/")
-    if len(run) % 4 == 1:
+def _taken(text: str, at: int, n: int, letters: re.Pattern) -> tuple[str, int] | None:
+    """The n letters from a place on, without what wraps lines, and where they end; None if there are fewer."""
+    got = []
+    while m := letters.match(text, at, min(at + n, len(text))):
+        got.append(m[0])
+        at, n = m.end(), n - len(m[0])
+        if not n:
+            return "".join(got), at
+        if not (m := WRAPS.match(text, at)):
+            return None
+        at = m.end()
+    return None
+
+
+def _base64(text: str, at: int, n: int) -> tuple[bytes, int] | None:
+    """The n bytes in base64 from a place on, and where they end."""
+    got = _taken(text, at, -(-4 * n // 3), BASE64)
+    return got and (base64.b64decode(got[0].translate(STANDARD) + "=" * (-len(got[0]) % 4))[:n], got[1])
+
+
+def key_length(read: Callable[[int], tuple[bytes, int] | None]) -> int | None:
+    """Bytes of the key that starts as read says, by the lengths in it; None if it cannot be one. read gives the first n bytes."""
+    if not (got := read(9)):
         return None
-    try:
-        return base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-    except binascii.Error:
+    head = got[0]
+    if head[0] == 0x30:
+        k = head[1] & 0x7F if head[1] >= 0x80 else 0
+        if k > 4 or head[1] == 0x80 or not (head[2 + k] == 0x30 or head[2 + k : 4 + k] == b"\x02\x01"):
+            return None
+        return 2 + k + (int.from_bytes(head[2 : 2 + k], "big") if k else head[1])
+    if not OPENSSH.startswith(head):
         return None
+    at, left = len(OPENSSH), 3  # cipher, kdf and options, then as many public keys as are said, and the private block
+
+    def number() -> int | None:
+        nonlocal at
+        at += 4
+        return int.from_bytes(got[0][at - 4 : at], "big") if (got := read(at)) else None
+
+    while left:
+        if (n := number()) is None:
+            return None
+        at, left = at + n, left - 1
+    if (keys := number()) is None or not 1 <= keys <= 16:
+        return None
+    for _ in range(keys + 1):
+        if (n := number()) is None:
+            return None
+        at += n
+    return at
+
+
+def _keys(text: str, starts: re.Pattern, decoded: Callable, end_of: Callable) -> list[tuple[int, int, str]]:
+    """Spans of keys that begin at some start, none within another. end_of gives a key's end, or None if it goes on.
+
+    A key may go on only with another one, so the last are looked at first.
+    """
+    found: dict[int, tuple[int, str]] = {}
+    for at in reversed([m.start() for m in starts.finditer(text)]):
+        read = functools.partial(decoded, text, at)
+        if (n := key_length(read)) and (got := read(n)):
+            kind = "der" if is_private_key(got[0]) else "openssh" if is_openssh_key(got[0]) else None
+            end = kind and (got[1] if got[1] in found else end_of(text, at, got[1], n))
+            if end:
+                found[at] = end, kind
+    out: list[tuple[int, int, str]] = []
+    for at in sorted(found):
+        if not out or at >= out[-1][1]:
+            out.append((at, *found[at]))
+    return out
+
+
+def _base64_end(text: str, at: int, end: int, n: int) -> int | None:
+    """The end with its padding; None if more letters of the same alphabet follow in the line."""
+    pads = (-4 * n // 3) % 4
+    if pads and (m := PADS[pads].match(text, end)):
+        return m.end()
+    more = text[end : end + 1]
+    if more in ("-", "_") and not re.search("[-_]", text[at:end]):
+        return end
+    return None if BASE64.match(more) else end
 
 
 def scan(text: str | None) -> list[tuple[int, int, str]]:
@@ -144,23 +222,7 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     out += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
     if "eyJ" in text:
         out += [(m.start(), m.end(), "token") for m in TOKEN.finditer(text) if is_token(m[0])]
-    for m in BASE64.finditer(text):
-        if m.end() - m.start() >= BASE64_LEAST:
-            run, start, end = m[0], m.start(), m.end()
-            # Words may touch a run's ends across a line's end: a key starts with a SEQUENCE (M) or OpenSSH's magic (b3Bl).
-            for at in [0] + [x.end() for x in re.finditer(r"\n", run)]:
-                body = run[at:]
-                if body[:1] not in "Mb":
-                    continue
-                for cut in [len(body)] + [x.start() for x in reversed(list(re.finditer(r"\r?\n", body)))][:2]:
-                    data = _decoded(body[:cut])
-                    kind = data and ("der" if is_private_key(data) else "openssh" if is_openssh_key(data) else None)
-                    if kind:
-                        out.append((start + at, start + at + cut, kind))
-                        break
-                else:
-                    continue
-                break
+    out += _keys(text, START, _base64, _base64_end)
     for m in DER_HEX.finditer(text):
         run = m[0]
         data = bytes.fromhex(run[: len(run) // 2 * 2])

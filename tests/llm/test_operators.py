@@ -86,6 +86,22 @@ def test_secret_kinds():
     assert token() not in secrets.redact(f"a {token()} b") and secrets.redact(None) is None and secrets.redact("clean") == "clean"
 
 
+def spans_of(text):
+    return [x for x in secrets.scan(text) if x[2] in ("der", "openssh")]
+
+
+def test_keys_in_one_run():
+    line = base64.b64encode(ED).decode()
+    assert len(line) == 64
+    for n in (1, 2, 3, 5):
+        assert spans_of("\n".join([line] * n)) == [(65 * i, 65 * i + 64, "der") for i in range(n)]
+    for key, kind in ((wrapped(RSA), "der"), (wrapped(PKCS8), "der"), (wrapped(SSH), "openssh"), (line, "der")):
+        bare = key.rstrip("=")  # padding would end the run
+        for more in ("", "\n" + "\n".join(["abcdefghijklmnopqrstuvwx"] * 5), f"\n{line}\n{line}"):
+            assert spans_of(bare + more)[0] == (0, len(bare), kind)
+            assert len(spans_of(bare + more)) == 1 + more.count(line)
+
+
 def test_secrets_table(spark):
     rng = random.Random(1)
     parts = ["token=", "token: ", "Password = '", "apikey\":\"", "api_key=", "ſecret=", "AKIA", "ABCDEFGHIJKLMNOP", "deadbeef", "0123456789abcdef", " ", "=", "a.b-c/d+", "AKIAAKIA", "é", "\n", token(), base64.b64encode(ED).decode()]
