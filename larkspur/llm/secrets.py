@@ -1,7 +1,8 @@
 """Secret scans with structural confirmation.
 
 Plain patterns find assignments, access key ids and long hex runs. Candidates for encoded secrets are then decoded and
-reported only if their inside is in order: base64 (wrapped or not, either alphabet) or hex that is a DER private key
+reported only if their inside is in order: base64 (either alphabet) or hex, from any place on, wrapped or not, by
+line ends as they are or escaped and with indentation or without, that is a DER private key
 whose nested lengths add up, an OpenSSH private key whose length-prefixed fields do, or a signed token whose header is
 JSON with an algorithm.
 """
@@ -30,14 +31,16 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 KINDS = ("assign", "access", "hex", "token", "openssh", "der")
 
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
-#: What may part the lines of an encoded key.
-WRAP = r"\r?\n"
+#: What may part the lines of an encoded key: line ends as they are or escaped, with white space around them.
+WRAP = r"(?:[ \t]*+(?:\r\n?|\n|\\++r\\++n|\\++n))++[ \t]*+"
 WRAPS = re.compile(WRAP)
 #: Where a key in base64 or base64url may begin: a SEQUENCE (M) or OpenSSH's magic (b3B).
-START = re.compile(rf"(?<![A-Za-z0-9+/_-])(?:M(?=(?:{WRAP})?[A-I])|b(?=(?:{WRAP})?3(?:{WRAP})?B))")
+START = re.compile(rf"M(?=(?:{WRAP})?[A-I])|b(?=(?:{WRAP})?3(?:{WRAP})?B)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]+")
 PADS = [re.compile(rf"(?:{WRAP})?{'=' * n}") if n else re.compile("") for n in range(3)]
-DER_HEX = re.compile(r"(?i:(?<![0-9a-f])30(?:8[1-4])?[0-9a-f]{32,})")
+#: The same in hex: a SEQUENCE (30) with its length, or 6f70656e.
+START_HEX = re.compile(rf"3(?=(?:{WRAP})?0(?:{WRAP})?[0-8])|6(?=(?:{WRAP})?[fF](?:{WRAP})?7)")
+LETTERS_HEX = re.compile("[0-9A-Fa-f]+")
 OPENSSH = b"openssh-key-v1\x00"
 STANDARD = str.maketrans("-_", "+/")
 #: Algorithm identifiers of private keys: RSA, elliptic curve, DSA, X25519, X448, Ed25519, Ed448.
@@ -147,17 +150,27 @@ def _base64(text: str, at: int, n: int) -> tuple[bytes, int] | None:
     return got and (base64.b64decode(got[0].translate(STANDARD) + "=" * (-len(got[0]) % 4))[:n], got[1])
 
 
+def _hex(text: str, at: int, n: int) -> tuple[bytes, int] | None:
+    """The n bytes in hex from a place on, and where they end."""
+    got = _taken(text, at, 2 * n, LETTERS_HEX)
+    return got and (bytes.fromhex(got[0]), got[1])
+
+
 def key_length(read: Callable[[int], tuple[bytes, int] | None]) -> int | None:
     """Bytes of the key that starts as read says, by the lengths in it; None if it cannot be one. read gives the first n bytes."""
-    if not (got := read(9)):
+    if not (got := read(16)):
         return None
     head = got[0]
     if head[0] == 0x30:
         k = head[1] & 0x7F if head[1] >= 0x80 else 0
-        if k > 4 or head[1] == 0x80 or not (head[2 + k] == 0x30 or head[2 + k : 4 + k] == b"\x02\x01"):
+        if k > 4 or head[1] == 0x80:
+            return None
+        first = head[2 + k :]  # a version, or an algorithm that begins with its identifier
+        inner = first[1] & 0x7F if first[1] >= 0x80 else 0
+        if not (first[:2] == b"\x02\x01" and first[2] <= 2 or first[0] == 0x30 and inner <= 4 and first[2 + inner] == 0x06):
             return None
         return 2 + k + (int.from_bytes(head[2 : 2 + k], "big") if k else head[1])
-    if not OPENSSH.startswith(head):
+    if not head.startswith(OPENSSH):
         return None
     at, left = len(OPENSSH), 3  # cipher, kdf and options, then as many public keys as are said, and the private block
 
@@ -210,6 +223,11 @@ def _base64_end(text: str, at: int, end: int, n: int) -> int | None:
     return None if BASE64.match(more) else end
 
 
+def _hex_end(text: str, at: int, end: int, n: int) -> int | None:
+    """The end; None if another byte follows in the line."""
+    return None if re.match("[0-9A-Fa-f]{2}", text[end : end + 2]) else end
+
+
 def scan(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) of every secret, by start, then as KINDS has them. Code points, end exclusive.
 
@@ -223,11 +241,7 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     if "eyJ" in text:
         out += [(m.start(), m.end(), "token") for m in TOKEN.finditer(text) if is_token(m[0])]
     out += _keys(text, START, _base64, _base64_end)
-    for m in DER_HEX.finditer(text):
-        run = m[0]
-        data = bytes.fromhex(run[: len(run) // 2 * 2])
-        if is_private_key(data):
-            out.append((m.start(), m.start() + len(data) * 2, "der"))
+    out += _keys(text, START_HEX, _hex, _hex_end)
     return sorted(set(out), key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 

@@ -102,6 +102,19 @@ def test_keys_in_one_run():
             assert len(spans_of(bare + more)) == 1 + more.count(line)
 
 
+def test_keys_wherever_they_begin():
+    lines = lambda text, sep: sep.join(text[i : i + 64] for i in range(0, len(text), 64))
+    for data, kind in ((RSA, "der"), (PKCS8, "der"), (ED, "der"), (SSH, "openssh")):
+        b64 = base64.b64encode(data).decode()
+        for key in (b64, data.hex(), data.hex().upper()):
+            for sep in ("", "\n", "\r\n", "\n    ", "\n\t", "\\n", "\\r\\n", "\\\\n"):
+                body = lines(key, sep)
+                for head, tail in (("", ""), ("-----BEGIN KEY-----" + sep, sep + "-----END KEY-----"), ('{"key": "\\n', '\\n"}'), ("x_/+", " y"), ("x\n  ", "\n z")):
+                    assert spans_of(head + body + tail) == [(len(head), len(head) + len(body), kind)], (kind, sep, head)
+                    assert body not in secrets.redact(head + body + tail)
+        assert spans_of(data.hex() + "00") == spans_of(data[:-1].hex()) == spans_of(f"{b64[:40]} {b64[40:]}") == []
+
+
 def test_secrets_table(spark):
     rng = random.Random(1)
     parts = ["token=", "token: ", "Password = '", "apikey\":\"", "api_key=", "ſecret=", "AKIA", "ABCDEFGHIJKLMNOP", "deadbeef", "0123456789abcdef", " ", "=", "a.b-c/d+", "AKIAAKIA", "é", "\n", token(), base64.b64encode(ED).decode()]
