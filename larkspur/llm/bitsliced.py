@@ -35,6 +35,16 @@ def _count(bitmap: np.ndarray) -> int:
     return int(np.bitwise_count(bitmap).sum())
 
 
+def _scores(values: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """The rows' products with the query; an OverflowError if one doesn't fit a long."""
+    if (np.abs(values.astype(float)) @ np.abs(query.astype(float)) < 2.0**62).all():
+        return values @ query
+    exact = [sum(a * b for a, b in zip(row, query.tolist(), strict=True)) for row in values.tolist()]
+    if any(not -(2**63) <= x < 2**63 for x in exact):
+        raise OverflowError("a score doesn't fit a long")
+    return np.array(exact, np.int64)
+
+
 class Slices:
     """One block: ids in order, the lowest value and number of binary places of each component, and its slices."""
 
@@ -47,9 +57,9 @@ class Slices:
         order = np.argsort(ids, kind="stable")
         ids, values = ids[order], values[order]
         low = values.min(axis=0)
-        u = values - low
+        u = values.astype(np.uint64) - low.astype(np.uint64)  # a difference may need 64 bits
         places = np.array([int(x).bit_length() for x in u.max(axis=0)], dtype=np.int64)
-        slices = np.stack([_pack(((u >> b) & 1).astype(bool).T) for b in range(max(places.max(initial=0), 1))], axis=1) if values.shape[1] else np.zeros((0, 1, -(-len(ids) // 64)), np.uint64)
+        slices = np.stack([_pack(((u >> np.uint64(b)) & np.uint64(1)).astype(bool).T) for b in range(max(places.max(initial=0), 1))], axis=1) if values.shape[1] else np.zeros((0, 1, -(-len(ids) // 64)), np.uint64)
         return cls(ids, low, places, slices)
 
     def sums(self, query: np.ndarray) -> list[np.ndarray]:
@@ -57,11 +67,11 @@ class Slices:
 
         Components that the query counts negatively are added as complements, so that nothing is subtracted.
         """
-        size = np.abs(query)
+        size = np.abs(query).astype(np.uint64)
         stack: dict[int, list[np.ndarray]] = {}
         for a in range(int(size.max(initial=0)).bit_length()):
             for source, chosen in ((self.slices, query > 0), (self.inverse, query < 0)):
-                at = np.flatnonzero(chosen & ((size >> a) & 1 == 1))
+                at = np.flatnonzero(chosen & ((size >> np.uint64(a)) & np.uint64(1) == 1))
                 for b in range(int(self.places[at].max(initial=0))):
                     has = at[self.places[at] > b]
                     stack.setdefault(a + b, []).append(source[has, b])
@@ -99,7 +109,7 @@ class Slices:
                     break
         rows = _rows(sure)
         rows = np.concatenate([rows, _rows(open_)[: k - len(rows)]])
-        return self.ids[rows], self.values(rows) @ query
+        return self.ids[rows], _scores(self.values(rows), query)
 
     def values(self, rows: np.ndarray) -> np.ndarray:
         """The rows' integers, put together from the slices."""
@@ -109,8 +119,9 @@ class Slices:
 
 
 def quantised(df: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: float = 256.0) -> DataFrame:
-    """(id, v, dim), v being floor(scale * x) in doubles. Components of 2**20 or more, whose scores may not fit a long, take no part, like null and non-finite ones."""
-    return usable(df, key, vector, zero=True, most=2.0**20).withColumn("v", F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double")))
+    """(id, v, dim), v being floor(scale * x) in doubles. Null and non-finite components take no part with their vectors; one whose v doesn't fit a long fails the job, like a score that doesn't."""
+    whole = lambda x: F.when(F.abs(x * F.lit(scale)) < F.lit(2.0**63), F.floor(x * F.lit(scale)).cast("double")).otherwise(F.raise_error(F.lit(f"a component times {scale} doesn't fit a long")).cast("double"))
+    return usable(df, key, vector, zero=True).withColumn("v", F.transform("v", whole))
 
 
 def build(rows: DataFrame, block: int = 1 << 15) -> DataFrame:

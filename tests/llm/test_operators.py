@@ -188,6 +188,18 @@ def test_slices_of_wide_and_equal_values():
             assert got == dict(want)
 
 
+def test_bitsliced_keeps_large_components(spark):
+    rows = [(0, [2.0**20, 1.0], 0), (1, [-(2.0**26), 3.0], 0), (2, [2.0**22, -1.0], 0), (3, [0.5, 2.0**44], 0), (4, [1.0, 0.0], 0), (50, [3.0, -0.5], 0)]
+    search = lambda rows: ranked(bitsliced.search(bitsliced.build(v := bitsliced.quantised(spark.createDataFrame(rows, VECTORS))), v.where(F.col("id") % 50 == 0), 5).collect())
+    exact = lambda a, b: sum(int(np.floor(256 * x)) * int(np.floor(256 * y)) for x, y in zip(a, b, strict=True))
+    assert search(rows) == brute(rows, 50, 5, lambda v: True, exact)
+    s = bitsliced.Slices.build(np.arange(4), np.array([[-(2**63) + 1], [2**63 - 1], [0], [-1]]))
+    assert [x.tolist() for x in s.top(np.array([-1]), 4)] == [[0, 1, 2, 3], [2**63 - 1, -(2**63) + 1, 0, 1]]
+    for wide in ([2.0**40, 1.0], [2.0**60, 1.0]):  # a score, a component beyond a long
+        with pytest.raises(Exception, match="fit a long"):
+            search([*rows, (100, wide, 0), (101, wide, 0)])
+
+
 @pytest.mark.parametrize("shard", [100, 1 << 13])
 def test_hnsw(spark, shard):
     rows = vector_rows()
