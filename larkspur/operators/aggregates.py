@@ -1,13 +1,12 @@
 """The two wide aggregate tables and the checks on edges.
 
-Each count is a partial aggregate on its key. Viral posts and actors are heavy keys of the edges, never of a join between
-large sides: edges are counted by post first, and only one row per post goes on.
+Each count is a partial aggregate on its key. The wide tables are not joined from counts: all rows that say something of a
+key go under each other with the kind of thing they say, and one aggregate, combined before the shuffle, counts the kinds. So
+a viral post or actor is a heavy key of no join.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,35 +32,55 @@ def received(edges: DataFrame, subject: str, posts: DataFrame, name: str) -> Dat
     return by_post.join(posts.select("uri_id", "author_did_id"), "uri_id").groupBy(F.col("author_did_id").alias("did_id")).agg(F.sum("n").cast("bigint").alias(name))
 
 
-def _filled(base: DataFrame, key: str, parts: list[DataFrame], counts: tuple[str, ...]) -> DataFrame:
-    joined = reduce(lambda a, b: a.join(b, key, "left"), parts, base.select(key))
-    return joined.select(key, *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts])
+def _said(df: DataFrame, key: str, facts: list[tuple[str, str]], *more: Column) -> DataFrame:
+    """(key, kind, more) for each row and fact (column, kind), from one pass over the rows; facts of null are none."""
+    rows = df.select(F.explode(F.array(*[F.struct(F.col(c).alias(key), F.lit(kind).alias("kind")) for c, kind in facts])).alias("fact"), *more)
+    return rows.select("fact.*", *[c for c in rows.columns if c != "fact"]).where(F.col(key).isNotNull())
+
+
+def _is(kind: str) -> Column:
+    return F.col("kind") == kind
 
 
 def post_aggs(posts: DataFrame, likes: DataFrame, reposts: DataFrame) -> DataFrame:
     """uri_id and its likes, reposts, direct replies and quotes; a row for every post."""
-    parts = [count_by(likes, "subject_uri_id", "uri_id", "likes"), count_by(reposts, "subject_uri_id", "uri_id", "reposts"), count_by(posts, "reply_parent_uri_id", "uri_id", "replies"), count_by(posts, "quote_uri_id", "uri_id", "quotes")]
-    return _filled(posts, "uri_id", parts, POST_COUNTS)
+    said = _said(posts, "uri_id", [("uri_id", "post"), ("reply_parent_uri_id", "replies"), ("quote_uri_id", "quotes")])
+    said = said.unionByName(_said(likes, "uri_id", [("subject_uri_id", "likes")])).unionByName(_said(reposts, "uri_id", [("subject_uri_id", "reposts")]))
+    found = said.groupBy("uri_id").agg(F.count_if(_is("post")).alias("there"), *[F.count_if(_is(c)).alias(c) for c in POST_COUNTS])
+    return found.where("there > 0").drop("there")
+
+
+_POST_FACTS = ("replied", "quoting", "likes", "reposts", "quotes")
 
 
-def _given(follows: DataFrame, blocks: DataFrame, posts: DataFrame, likes: DataFrame, reposts: DataFrame) -> list[DataFrame]:
-    return [
-        count_by(follows, "src_did_id", "did_id", "follows"), count_by(follows, "dst_did_id", "did_id", "followers"),
-        count_by(blocks, "src_did_id", "did_id", "blocks_out"), count_by(blocks, "dst_did_id", "did_id", "blocks_in"), posts_by_author(posts),
-        count_by(likes, "actor_did_id", "did_id", "likes_out"), count_by(reposts, "actor_did_id", "did_id", "reposts_out"),
-    ]
+def _by_actor(actors: DataFrame, follows: DataFrame, blocks: DataFrame, likes: DataFrame, reposts: DataFrame, per_post: DataFrame) -> DataFrame:
+    """The twelve counts; per_post: (author_did_id, replied, quoting, likes, reposts, quotes), a row for each post."""
+    said = _said(follows, "did_id", [("src_did_id", "follows"), ("dst_did_id", "followers")])
+    for df, facts in ((blocks, [("src_did_id", "blocks_out"), ("dst_did_id", "blocks_in")]), (likes, [("actor_did_id", "likes_out")]), (reposts, [("actor_did_id", "reposts_out")])):
+        said = said.unionByName(_said(df, "did_id", facts))
+    said = said.withColumns({c: F.lit(0).cast("bigint") for c in _POST_FACTS})
+    said = said.unionByName(_said(per_post, "did_id", [("author_did_id", "posts")], *[F.col(c).cast("bigint").alias(c) for c in _POST_FACTS]))
+    sums = dict(zip(("replies_out", "quotes_out", "likes_in", "reposts_in", "quoted_count"), _POST_FACTS, strict=True))
+    found = said.groupBy("did_id").agg(*[F.sum(sums[c]).alias(c) if c in sums else F.count_if(_is(c)).alias(c) for c in ACTOR_COUNTS])
+    return actors.select("did_id").join(found, "did_id", "left").select("did_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ACTOR_COUNTS])
 
 
 def actor_aggs(actors: DataFrame, follows: DataFrame, blocks: DataFrame, posts: DataFrame, likes: DataFrame, reposts: DataFrame) -> DataFrame:
-    """did_id and twelve counts; a row for every actor, active or not."""
-    got = [received(likes, "subject_uri_id", posts, "likes_in"), received(reposts, "subject_uri_id", posts, "reposts_in"), received(posts, "quote_uri_id", posts, "quoted_count")]
-    return _filled(actors, "did_id", _given(follows, blocks, posts, likes, reposts) + got, ACTOR_COUNTS)
+    """did_id and twelve counts; a row for every actor, active or not. Posts, one row each, are read once."""
+    own = [F.col("author_did_id"), F.col("reply_parent_uri_id").isNotNull().alias("replied"), F.col("quote_uri_id").isNotNull().alias("quoting")]
+    none = [F.lit(None).cast("bigint").alias("author_did_id"), F.lit(None).cast("boolean").alias("replied"), F.lit(None).cast("boolean").alias("quoting")]
+    said = _said(posts, "uri_id", [("uri_id", "post"), ("quote_uri_id", "quotes")], *own)
+    for df, kind in ((likes, "likes"), (reposts, "reposts")):
+        said = said.unionByName(_said(df, "uri_id", [("subject_uri_id", kind)], *none))
+    post = lambda c: F.max(F.when(_is("post"), F.col(c))).alias(c)
+    per_post = said.groupBy("uri_id").agg(post("author_did_id"), post("replied"), post("quoting"), *[F.count_if(_is(c)).alias(c) for c in ("likes", "reposts", "quotes")])
+    return _by_actor(actors, follows, blocks, likes, reposts, per_post.where("author_did_id is not null"))
 
 
 def actor_aggs_from_posts(actors: DataFrame, follows: DataFrame, blocks: DataFrame, posts: DataFrame, likes: DataFrame, reposts: DataFrame, per_post: DataFrame) -> DataFrame:
-    """The same from a finished post_aggs: what authors receive is the sum over their posts, so three joins become one."""
-    sums = per_post.join(posts.select("uri_id", "author_did_id"), "uri_id").groupBy(F.col("author_did_id").alias("did_id")).agg(*[F.sum(a).cast("bigint").alias(b) for a, b in (("likes", "likes_in"), ("reposts", "reposts_in"), ("quotes", "quoted_count"))])
-    return _filled(actors, "did_id", [*_given(follows, blocks, posts, likes, reposts), sums], ACTOR_COUNTS)
+    """The same from a finished post_aggs: what authors receive is the sum over their posts."""
+    flags = posts.select("uri_id", "author_did_id", F.col("reply_parent_uri_id").isNotNull().alias("replied"), F.col("quote_uri_id").isNotNull().alias("quoting"))
+    return _by_actor(actors, follows, blocks, likes, reposts, flags.join(per_post, "uri_id", "left"))
 
 
 def bucket(df: DataFrame, key: str, n: int, k: int) -> DataFrame:
@@ -96,8 +115,8 @@ def share_on_day(follows: DataFrame, day: str) -> DataFrame:
 
 
 def liked_posts(posts: DataFrame, likes: DataFrame) -> DataFrame:
-    """Posts with a like, each once."""
-    return posts.join(likes.select(F.col("subject_uri_id").alias("uri_id")), "uri_id", "left_semi")
+    """Posts with a like, each once. Subjects are made distinct before they move, so that a viral post is one row by then."""
+    return posts.join(likes.select(F.col("subject_uri_id").alias("uri_id")).distinct(), "uri_id", "left_semi")
 
 
 def collisions(uris: DataFrame) -> DataFrame:

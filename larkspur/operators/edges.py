@@ -1,4 +1,4 @@
-"""Links resolved into the edges and posts of the snapshot: plain equi-joins that the planner picks strategies for."""
+"""Links resolved into the edges and posts of the snapshot: equi-joins that the planner picks strategies for, heavy keys in parts."""
 
 from __future__ import annotations
 
@@ -10,14 +10,33 @@ from larkspur.types import EMBED_RECORD, EMBED_RECORD_MEDIA, REPLY_PARENT, REPLY
 REF_COLUMNS = {REPLY_ROOT: "reply_root_uri_id", REPLY_PARENT: "reply_parent_uri_id", EMBED_RECORD: "embed_uri_id", EMBED_RECORD_MEDIA: "embed_media_uri_id"}
 
 
-def actor_edges(keyed: DataFrame, target_actors: DataFrame) -> DataFrame:
+#: Rows of one key that a join's task may have to take.
+HEAVY = 1 << 22
+
+
+def parted_join(rows: DataFrame, known: DataFrame, key: str, spread_by: list[str], how: str, heavy: int = HEAVY) -> DataFrame:
+    """rows joined to known by the key, those of a key with more than `heavy` rows in parts of about so many.
+
+    The parts are told apart by a hash of spread_by. known's rows of such a key go to each of its parts. Heavy keys are counted
+    in the plan, combined before the shuffle; there are at most rows / heavy of them, so that they are broadcast.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > heavy) & F.col(key).isNotNull())
+    parts = F.broadcast(counts.select(key, F.ceil(F.col("n") / heavy).cast("int").alias("parts")))
+    many = F.coalesce("parts", F.lit(1))
+    left = rows.join(parts, key, "left").withColumn("part", F.pmod(F.xxhash64(*spread_by), many)).drop("parts")
+    right = known.join(parts, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), many.cast("bigint") - 1))).drop("parts")
+    return left.join(right, [key, "part"], how).drop("part")
+
+
+def actor_edges(keyed: DataFrame, target_actors: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """Follows or blocks: targets that are no actor disappear."""
-    return keyed.join(target_actors, "target_id").select("src_did_id", "dst_did_id", "rkey", "created_at")
+    return parted_join(keyed, target_actors, "target_id", ["src_did_id", "rkey"], "inner", heavy).select("src_did_id", "dst_did_id", "rkey", "created_at")
 
 
-def post_edges(keyed: DataFrame, target_posts: DataFrame) -> DataFrame:
+def post_edges(keyed: DataFrame, target_posts: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """Likes or reposts: targets that nothing is known of stay, with a null subject."""
-    return keyed.join(target_posts, "target_id", "left").select(F.col("src_did_id").alias("actor_did_id"), F.col("uri_id").alias("subject_uri_id"), "rkey", "created_at")
+    joined = parted_join(keyed, target_posts, "target_id", ["src_did_id", "rkey"], "left", heavy)
+    return joined.select(F.col("src_did_id").alias("actor_did_id"), F.col("uri_id").alias("subject_uri_id"), "rkey", "created_at")
 
 
 def resolved_refs(refs: DataFrame, target_posts: DataFrame) -> DataFrame:

@@ -11,10 +11,40 @@ from larkspur.functions import ids, tids, uris
 from larkspur.operators import aggregates, edges, posts, records
 from larkspur.plans import hydrate
 from larkspur.plans.graphviews import ansi_sql, view
-from larkspur.sources import objects
+from larkspur.sources import bincode, kv, objects
 from larkspur.types import FOLLOW, POST, SUBJECT, SUBJECT_URI, TID_ALPHABET, umod
 
 Query = Callable[[SparkSession, str], DataFrame]
+U64 = 2**64
+#: The five primes of XXH64.
+PRIMES = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+
+
+def xxh64_sql(rows: str, key: str, name: str) -> str:
+    """XXH64 with seed 0 in SQL, from its specification, in 128-bit numbers; rows: SQL of the key and the bytes as hex, h."""
+    p1, p2, p3, p4, p5 = PRIMES
+    times = lambda a, b: f"(({a}) * {b}::UHUGEINT % {U64}::UHUGEINT)"
+    plus = lambda a, b: f"((({a}) + ({b})) % {U64}::UHUGEINT)"
+    turn = lambda a, n: f"(({a}) * {2**n}::UHUGEINT % {U64}::UHUGEINT + ({a}) // {2 ** (64 - n)}::UHUGEINT)"
+    fold = lambda a, n: f"xor({a}, ({a}) // {2**n}::UHUGEINT)"
+    read = lambda at, n: f"list_reduce(list_concat([0::UHUGEINT], list_reverse(b[({at}) + 1 : ({at}) + {n}])), lambda a, y: a * 256::UHUGEINT + y)"
+    lane = lambda start, i: f"list_reduce(list_concat([{start % U64}::UHUGEINT], list_transform(range(n // 32), lambda s: {read(f's * 32 + {8 * i}', 8)})), lambda v, k: {times(turn(plus('v', times('k', p2)), 31), p1)})"
+    mixed = lambda k: times(turn(times(k, p2), 31), p1)
+    lanes = ", ".join(f"{lane(x, i)} AS v{i + 1}" for i, x in enumerate((p1 + p2, p2, 0, -p1)))
+    whole = plus(plus(turn("v1", 1), turn("v2", 7)), plus(turn("v3", 12), turn("v4", 18)))
+    merged = f"list_reduce([{whole}, v1, v2, v3, v4], lambda h, v: {plus(times(f'xor(h, {mixed("v")})', p1), p4)})"
+    eights = f"list_reduce(list_concat([h0], list_transform(range((n % 32) // 8), lambda s: {read('(n // 32) * 32 + s * 8', 8)})), lambda h, k: {plus(times(turn(f'xor(h, {mixed("k")})', 27), p1), p4)})"
+    four = f"xor(h1, {times(read('(n // 8) * 8', 4), p1)})"
+    ones = f"list_reduce(list_concat([h2], b[(n // 4) * 4 + 1 :]), lambda h, k: {times(turn(f'xor(h, {times("k", p5)})', 11), p1)})"
+    return f"""
+        WITH r AS ({rows}), b AS (SELECT {key}, list_transform(regexp_extract_all(h, '..'), lambda x: ('0x' || x)::INT::UHUGEINT) AS b FROM r), l AS (SELECT *, len(b) AS n FROM b),
+             a AS (SELECT *, {lanes} FROM l), s AS (SELECT *, {plus(f"CASE WHEN n >= 32 THEN {merged} ELSE {p5}::UHUGEINT END", "n::UHUGEINT")} AS h0 FROM a),
+             e AS (SELECT *, {eights} AS h1 FROM s), f AS (SELECT *, CASE WHEN n % 8 >= 4 THEN {plus(times(turn(four, 23), p2), p3)} ELSE h1 END AS h2 FROM e),
+             o AS (SELECT *, {ones} AS h3 FROM f), x AS (SELECT *, {times(fold("h3", 33), p2)} AS h4 FROM o), y AS (SELECT *, {times(fold("h4", 29), p3)} AS h5 FROM x), z AS (SELECT *, {fold("h5", 32)} AS h6 FROM y)
+        SELECT {key}, (CASE WHEN h6 >= {2**63}::UHUGEINT THEN h6::HUGEINT - {U64}::HUGEINT ELSE h6::HUGEINT END)::BIGINT AS {name} FROM z
+    """
+
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -38,7 +68,8 @@ def query(oracle: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Q
 _SIGHTED = ("posts_from_records", "posts_from_targets")
 _REST = "author_did_id, rkey, created_at, reply_root_uri_id, reply_parent_uri_id, quote_uri_id"
 _UNION = "SELECT *, 'record' AS source FROM posts_from_records UNION ALL BY NAME SELECT *, 'target_only' AS source FROM posts_from_targets"
-POSTS = f"SELECT uri_id, {', '.join(f"coalesce(max({c}) FILTER (WHERE source = 'record'), max({c})) AS {c}" for c in _REST.split(', '))}, min(source) AS source FROM ({_UNION}) GROUP BY uri_id"
+#: Column by column the first value that isn't null, records before targets, larger ones first where several say something.
+POSTS = f"SELECT uri_id, {', '.join(f"first({c} ORDER BY source, {c} DESC) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in _REST.split(', '))}, min(source) AS source FROM ({_UNION}) GROUP BY uri_id"
 _P = (*_SIGHTED, "posts")
 
 
@@ -253,7 +284,7 @@ def post_aggs_dry_run(spark, d):
 
 # Checks and questions
 
-_ORPHANS = "SELECT CAST(count(*) - count(*) FILTER (WHERE subject_uri_id IN (SELECT uri_id FROM posts)) AS DOUBLE) / count(*) AS orphan_rate FROM {}"
+_ORPHANS = "SELECT avg(CASE WHEN uri_id IS NULL THEN 1 ELSE 0 END) AS orphan_rate FROM {} LEFT JOIN posts ON subject_uri_id = uri_id"
 
 
 @query(_ORPHANS.format("likes"), (*_P, "likes"))
@@ -327,16 +358,51 @@ def parse_uri(spark, d):
     return _pages(spark, d).select("page_id", uris.parse_uri(F.col("url"), "http://").alias("u")).select("page_id", "u.did", "u.collection", "u.rkey")
 
 
-@query()
+@query(xxh64_sql("SELECT page_id, hex(encode(url)) AS h FROM pages", "page_id", "uri_id"))
 def uri_id_hash(spark, d):
     return _pages(spark, d).select("page_id", ids.uri_id(F.col("url")).alias("uri_id"))
 
 
-@query()
+_LITTLE = "array_to_string(list_reverse(regexp_extract_all(lpad(to_base(page_id, 16), 16, '0'), '..')), '')"
+
+
+@query(xxh64_sql(f"SELECT page_id, hex(encode('like')) || '00' || {_LITTLE} || hex(encode(url)) AS h FROM pages", "page_id", "record_id"))
 def record_id_hash(spark, d):
     return _pages(spark, d).select("page_id", ids.record_id("like", F.col("page_id"), F.col("url")).alias("record_id"))
 
 
+# Decoding: what tables say, encoded as index entries and decoded again
+
+
+@query("SELECT c_name AS did, c_custkey AS did_id, c_acctbal >= 0 AS active FROM customer")
+def decode_actors(spark, d):
+    rows = spark.read.parquet(f"{d}/customer.parquet")
+    entry = bincode.string_column(F.col("c_name")), F.concat(bincode.integer_column(F.col("c_custkey")), bincode.boolean_column(F.col("c_acctbal") >= 0))
+    return kv.entries(rows.select(F.lit("did_ids").alias("cf"), entry[0].alias("key"), entry[1].alias("value")), "did_ids")
+
+
+@query("SELECT o_orderkey * 1000003 AS target_id, CAST(o_custkey AS VARCHAR) AS target, o_orderstatus AS collection, o_orderpriority AS rpath FROM orders")
+def decode_targets(spark, d):
+    rows = spark.read.parquet(f"{d}/orders.parquet")
+    key = F.unhex(F.lpad(F.hex(F.col("o_orderkey") * 1000003), 16, "0"))
+    value = F.concat(*[bincode.string_column(F.col(c).cast("string")) for c in ("o_custkey", "o_orderstatus", "o_orderpriority")])
+    return kv.entries(rows.select(F.lit("target_ids").alias("cf"), key.alias("key"), value.alias("value")), "target_ids")
+
+
+_LINK_IDS = {"l_linestatus": "l_partkey", "l_returnflag": "l_orderkey * 70000", "l_suppkey": "l_suppkey * 5000000000"}
+_DECODED_LINKS = " UNION ALL ".join(f"SELECT l_partkey AS did_id, l_returnflag AS collection, CAST(l_orderkey AS VARCHAR) AS rkey, CAST({c} AS VARCHAR) AS rpath, {n} AS target_id FROM lineitem WHERE l_linenumber > {i}" for i, (c, n) in enumerate(_LINK_IDS.items()))
+
+
+@query(_DECODED_LINKS)
+def decode_links(spark, d):
+    rows = spark.read.parquet(f"{d}/lineitem.parquet")
+    key = F.concat(bincode.integer_column(F.col("l_partkey")), bincode.string_column(F.col("l_returnflag")), bincode.string_column(F.col("l_orderkey").cast("string")))
+    links = [F.when(F.col("l_linenumber") > i, F.concat(bincode.string_column(F.col(c).cast("string")), bincode.integer_column(F.expr(n)))).otherwise(F.lit(b"")) for i, (c, n) in enumerate(_LINK_IDS.items())]
+    value = F.concat(bincode.integer_column(F.least(F.col("l_linenumber"), F.lit(len(links))).cast("bigint")), *links)
+    got = kv.entries(rows.select(F.lit("link_targets").alias("cf"), key.alias("key"), value.alias("value")), "link_targets")
+    return got.select("did_id", "collection", "rkey", F.explode("links").alias("link")).select("did_id", "collection", "rkey", "link.*")
+
+
 @query("SELECT o_orderkey, CAST((CASE WHEN k < 0 THEN k::HUGEINT + 18446744073709551616 ELSE k::HUGEINT END) % 7 AS BIGINT) AS bucket FROM (SELECT o_orderkey, o_orderkey * 1000003 - 7000000000 AS k FROM orders)")
 def umod_bucket(spark, d):
     key = F.col("o_orderkey") * F.lit(1000003).cast("bigint") - F.lit(7000000000)

@@ -1,18 +1,16 @@
 """The key-value index as a dataset (cf STRING, key BINARY, value BINARY), partitioned by column family, and its decoding.
 
-Each family is decoded in one pass over Arrow batches. Rows that are no entry of the family are kept as a null `entry`, so
+Each family is decoded in one pass over Arrow batches, column by column. Rows that are no entry of the family are kept as a null `entry`, so
 that callers can count what they skip; `entries` drops them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from larkspur.sources import bincode
@@ -38,33 +36,21 @@ def write(rows: DataFrame, path: str) -> None:
     rows.select("cf", "key", "value").write.mode("overwrite").partitionBy("cf").option("compression", "zstd").parquet(path)
 
 
-def _entry(cf: str, key: bytes, value: bytes) -> dict[str, Any] | None:
-    if cf == "target_ids":
-        a, b = {"target_id": int.from_bytes(key, "big", signed=True)}, bincode.decode(value, bincode.target_key)
-    elif cf == "did_ids":
-        a, b = bincode.decode(key, bincode.did), bincode.decode(value, bincode.did_value)
-    elif cf == "link_targets":
-        a, b = bincode.decode(key, bincode.record_key), bincode.decode(value, bincode.record_links)
-    else:
-        a, b = bincode.decode(key, lambda r: {"target_id": r.id()}), bincode.decode(value, bincode.linkers)
-    return None if a is None or b is None else a | b
-
-
-def decoded(kv: DataFrame, cf: str) -> DataFrame:
-    """(entry STRUCT or null) of each row of the direction that is read: forward DIDs (keys of other than 8 bytes), reverse targets (keys of 8 bytes)."""
+def decoded(kv: DataFrame, cf: str, keep: str | None = None) -> DataFrame:
+    """(entry STRUCT or null[, key]) of each row of the direction that is read: forward DIDs (keys of other than 8 bytes), reverse targets (keys of 8 bytes)."""
     rows = kv.where(F.col("cf") == cf)
     if cf == "did_ids":
         rows = rows.where(F.octet_length("key") != 8)
     elif cf == "target_ids":
         rows = rows.where(F.octet_length("key") == 8)
     schema = StructType().add("entry", StructType.fromDDL(DECODED[cf]))
-    kind = to_arrow_schema(schema).field(0).type
+    if keep:
+        schema = schema.add(keep, "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, values = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            found = [None if k is None or v is None else _entry(cf, k, v) for k, v in zip(keys, values, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, kind)], ["entry"])
+            found = bincode.entries(cf, batch.column(0), batch.column(1))
+            yield pa.RecordBatch.from_arrays([found, *[batch.column(0)] * bool(keep)], schema.fieldNames())
 
     return rows.select("key", "value").mapInArrow(run, schema)
 
@@ -77,13 +63,30 @@ def entries(kv: DataFrame, cf: str, watch: Observation | None = None) -> DataFra
     return rows.where("entry is not null").select("entry.*")
 
 
-def statistics(kv: DataFrame) -> DataFrame:
-    """Per family, all four of them: keys, bytes of keys and of values."""
-    spark = kv.sparkSession
-    names = spark.createDataFrame([(i, c) for i, c in enumerate(FAMILIES)], "place INT, cf STRING")
-    sums = kv.groupBy("cf").agg(F.count(F.lit(1)).alias("keys"), F.sum(F.octet_length("key")).alias("key_bytes"), F.sum(F.octet_length("value")).alias("value_bytes"))
+def first_bad(kv: DataFrame, cf: str) -> bytes | None:
+    """The key of some row that is no entry of the family, for a message."""
+    names = kv.where(F.col("cf") == cf)
+    row = decoded(names, cf, keep="key").where("entry is null").first()
+    return None if row is None or row.key is None else bytes(row.key)
+
+
+def statistics(spark: SparkSession, path: str) -> DataFrame:
+    """Per family, all four of them: keys and bytes of files, from listings and footers; no column of a partitioned index is read.
+
+    The bytes of files that don't lie in a family's folder are told under a null family.
+    """
+    names = spark.createDataFrame([(i, c) for i, c in enumerate(FAMILIES)] + [(len(FAMILIES), None)], "place INT, cf STRING")
+    keys = read(spark, path).groupBy("cf").agg(F.count(F.lit(1)).alias("keys"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).where(F.endswith("path", F.lit(".parquet")))
+    sizes = listed.groupBy(F.nullif(F.regexp_extract("path", "/cf=([^/]*)/[^/]*$", 1), F.lit("")).alias("folder")).agg(F.sum("length").alias("file_bytes"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-    return names.join(sums, "cf", "left").orderBy("place").select("cf", zero("keys"), zero("key_bytes"), zero("value_bytes"))
+    both = names.join(F.broadcast(keys.withColumnRenamed("cf", "k")), F.col("cf").eqNullSafe(F.col("k")), "left").join(F.broadcast(sizes), F.col("cf").eqNullSafe(F.col("folder")), "left")
+    return both.where("cf is not null or file_bytes > 0").orderBy("place").select("cf", zero("keys"), zero("file_bytes"))
+
+
+def estimate_keys(spark: SparkSession, path: str, cf: str) -> int:
+    """A family's keys, of both directions, from footers; 0 where there is none."""
+    return next((r["keys"] for r in statistics(spark, path).where(F.col("cf") == cf).collect()), 0)
 
 
 class Index:
