@@ -25,12 +25,9 @@ def parse_size(text: str) -> int:
 
 
 def format_bytes(n: int) -> str:
-    value = float(n)
-    for unit in ("B", "KiB", "MiB", "GiB", "TiB"):
-        if abs(value) < 1024:
-            return f"{value:.2f} {unit}"
-        value /= 1024
-    return f"{value:.2f} PiB"
+    """Bytes in the largest unit of 1024**k that is not above them, PiB at most, to two places."""
+    k = min(max(abs(n).bit_length() - 1, 0) // 10, 5)
+    return f"{n / (1 << 10 * k):.2f} {' KMGTP'[k].strip()}{'iB' if k else 'B'}"
 
 
 def percent(done: int, total: int) -> str:
@@ -51,6 +48,10 @@ def auto_memory(limit: int | None = None, ram: int | None = None) -> str:
     return f"{min(int(min(limit or ram, ram) * 0.8), 128 << 30) >> 20}MiB"
 
 
+#: Where the store's credentials are read from; without them Hadoop's own providers are asked.
+CREDENTIALS = {"fs.s3a.access.key": "AWS_ACCESS_KEY_ID", "fs.s3a.secret.key": "AWS_SECRET_ACCESS_KEY"}
+
+
 @dataclass(frozen=True)
 class Upload:
     kind: str = "files"
@@ -71,11 +72,14 @@ class Upload:
         raise ValueError(f"no such kind of store: {self.kind}")
 
     def options(self) -> dict[str, str]:
-        """Hadoop settings of the store; a stated endpoint wins over one made from the account."""
+        """Hadoop settings of the store; a stated endpoint wins over one made from the account. Credentials come from the environment only."""
         if self.kind != "s3a":
             return {}
         endpoint = self.endpoint or (f"https://{self.account_id}.r2.cloudflarestorage.com" if self.account_id else None)
-        return {"fs.s3a.endpoint.region": self.region} | ({"fs.s3a.endpoint": endpoint} if endpoint else {})
+        secrets = {option: os.environ[name] for option, name in CREDENTIALS.items() if os.environ.get(name)}
+        if len(secrets) == 1:
+            raise ValueError(f"{' and '.join(CREDENTIALS.values())} go together")
+        return {"fs.s3a.endpoint.region": self.region} | ({"fs.s3a.endpoint": endpoint} if endpoint else {}) | secrets
 
 
 @dataclass(frozen=True)
@@ -104,6 +108,10 @@ class Config:
     def dated(self) -> Config:
         return self if self.snapshot_date else replace(self, snapshot_date=datetime.datetime.now(datetime.UTC).date().isoformat())
 
+    def spark_memory(self) -> str:
+        """The memory limit as Spark writes sizes, in MiB."""
+        return f"{max(parse_size(self.memory()) >> 20, 512)}m"
+
     def memory(self) -> str:
         return auto_memory() if self.memory_limit == "auto" else self.memory_limit
 
@@ -111,6 +119,10 @@ class Config:
     def mirror_dir(self) -> str:
         return f"{self.work_dir}/index"
 
+    @property
+    def scratch_dir(self) -> str:
+        return f"{self.work_dir}/scratch/{self.snapshot_date}"
+
     @property
     def raw_dir(self) -> str:
         return f"{self.work_dir}/raw/{self.snapshot_date}"

@@ -1,4 +1,4 @@
-"""Builds on disk: mirror the index, stage it, hydrate the snapshot, describe it, upload it."""
+"""Builds in a work folder on any store: mirror the index, stage it, hydrate the snapshot, describe it, upload it."""
 
 from __future__ import annotations
 
@@ -6,19 +6,18 @@ import concurrent.futures
 import datetime
 import json
 import logging
-import os
-import shutil
 from collections.abc import Callable
-from pathlib import Path
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from larkspur.operators.aggregates import orphan_rate
 from larkspur.plans import hydrate as model
 from larkspur.plans import stage as staging
 from larkspur.plans.config import Config
 from larkspur.sources import kv as index
+from larkspur.sources.files import Files
 from larkspur.types import TABLES, normalised
 
 VERSION = "0.1"
@@ -42,42 +41,60 @@ def views(spark: SparkSession, raw: str, names: list[str] | None = None) -> dict
     return out
 
 
-def folder_bytes(path: str) -> int:
-    return sum(p.stat().st_size for p in Path(path).rglob("*") if p.is_file()) if os.path.isdir(path) else 0
-
-
-def mirror(cfg: Config) -> dict[str, Any]:
-    """Copy the index's files to the work folder, `mirror_concurrency` at a time, unless a finished copy is there. The mark of one is `.cursor`, written last."""
-    to, mark = Path(cfg.mirror_dir), Path(cfg.mirror_dir) / ".cursor"
-    if mark.exists():
-        return {"bytes": folder_bytes(cfg.mirror_dir), "skipped": True}
-    files = [p for p in Path(cfg.source).rglob("*") if p.is_file()]
-    if not files:
-        raise FileNotFoundError(f"no index at {cfg.source}")
-
-    def copy(p: Path) -> None:
-        target = to / p.relative_to(cfg.source)
-        target.parent.mkdir(parents=True, exist_ok=True)
-        shutil.copyfile(p, part := target.with_name(f".{target.name}.part"))
-        os.replace(part, target)
-
-    with concurrent.futures.ThreadPoolExecutor(cfg.mirror_concurrency) as pool:
-        list(pool.map(copy, files))
-    mark.write_text(json.dumps({"source": cfg.source, "backup_id": cfg.backup_id}))
-    return {"bytes": folder_bytes(cfg.mirror_dir), "skipped": False}
+def backup_of(files: Files, cfg: Config) -> tuple[str, int | None]:
+    """The index to copy and its number: the source itself, or of a folder of numbered ones the one asked for, else the latest."""
+    numbered = {int(name): name for name in files.folders(cfg.source) if name.isdecimal()}
+    if not numbered:
+        return cfg.source, cfg.backup_id
+    n = max(numbered) if cfg.backup_id is None else cfg.backup_id
+    if n not in numbered:
+        raise FileNotFoundError(f"no backup {n} at {cfg.source}; there are {sorted(numbered)}")
+    return f"{cfg.source}/{numbered[n]}", n
+
+
+def mirror(spark: SparkSession, cfg: Config) -> dict[str, Any]:
+    """Copy the chosen index to the work folder, unless a finished copy of it is there. The mark of one is `.cursor`, written last.
+
+    The executors copy, a family to a folder; the copy is then held against the source, by family: keys, and a checksum over all bytes.
+    """
+    files, mark = Files(spark), f"{cfg.mirror_dir}/.cursor"
+    if files.exists(mark):
+        return {"bytes": files.bytes(cfg.mirror_dir), "skipped": True}
+    source, number = backup_of(files, cfg)
+    if not any(path.endswith(".parquet") for path, _ in files.files(source)):
+        raise FileNotFoundError(f"no index at {source}")
+    index.write(index.read(spark, source), cfg.mirror_dir)
+    sums = lambda path: {tuple(r) for r in index.read(spark, path).groupBy("cf").agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("key", "value"))).collect()}
+    if sums(source) != sums(cfg.mirror_dir):
+        raise ValueError(f"the copy of {source} differs from it")
+    files.write(mark, json.dumps({"source": source, "backup_id": number}))
+    update_metadata(spark, cfg, backup_id=number)
+    return {"bytes": files.bytes(cfg.mirror_dir), "skipped": False}
+
+
+def decoded(spark: SparkSession, cfg: Config, kv: DataFrame) -> tuple[list[DataFrame], dict[str, int]]:
+    """The decoded families, written to the scratch folder so that no lost executor decodes them again, and how many entries were scanned and bad."""
+    out, counters = [], {}
+    for cf in staging.READ:
+        watch = Observation(cf)
+        write(index.entries(kv, cf, watch), path := f"{cfg.scratch_dir}/{cf}.parquet", SCRATCH)
+        counters |= {f"{cf}_{k}": v for k, v in watch.get.items()}
+        if watch.get["bad"]:
+            _log.warning("%s: %d of %d entries are malformed and left out, such as %r", cf, watch.get["bad"], watch.get["scanned"], index.first_bad(kv, cf))
+        out.append(spark.read.parquet(path))
+    return out, counters
 
 
 def stage(spark: SparkSession, cfg: Config, source: str | None = None) -> dict[str, int]:
-    """Write the seven entity tables; their row counts, read back from the files."""
+    """Write the seven entity tables; their row counts, read back from the files. What was scanned, bad and missing goes to the metadata."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(cfg.batch_size, 10_000)))
-    staged = staging.stage(index.read(spark, source or cfg.mirror_dir))
-    try:
-        for name, df in staged.tables.items():
-            write(df, f"{cfg.raw_dir}/{name}.parquet")
-    finally:
-        staged.release()
-    out = {name: spark.read.parquet(f"{cfg.raw_dir}/{name}.parquet").count() for name in staged.tables}
-    update_metadata(cfg, stage_counts=list(out.items()))
+    families, counters = decoded(spark, cfg, index.read(spark, source or cfg.mirror_dir))
+    for name, df in staging.join(*families).tables.items():
+        write(df, f"{cfg.raw_dir}/{name}.parquet")
+    counters |= {r.name: r.n for r in staging.lost(*families).collect()}
+    Files(spark).remove(cfg.scratch_dir)
+    out = {name: spark.read.parquet(f"{cfg.raw_dir}/{name}.parquet").count() for name in TABLES}
+    update_metadata(spark, cfg, stage_counts=list(out.items()), stage_counters=counters)
     return out
 
 
@@ -106,66 +123,60 @@ def hydrate(spark: SparkSession, cfg: Config) -> dict[str, Any]:
     rates = {t: orphan_rate(tables[t], tables["posts"]).first()[0] or 0.0 for t in ("likes", "reposts")}
     now = datetime.datetime.now(datetime.UTC).replace(tzinfo=None).isoformat(sep=" ", timespec="seconds")
     write(model.metadata(spark, cfg.snapshot_date, cfg.source, cfg.backup_id, now, VERSION, cfg.memory()), f"{cfg.snapshot_dir}/snapshot_metadata.parquet")
-    update_metadata(cfg, hydrate_counts=list(counts.items()), orphan_like_rate=rates["likes"], orphan_repost_rate=rates["reposts"])
+    update_metadata(spark, cfg, hydrate_counts=list(counts.items()), orphan_like_rate=rates["likes"], orphan_repost_rate=rates["reposts"])
     return {"counts": counts, "orphan_rates": rates}
 
 
-def update_metadata(cfg: Config, **found: Any) -> str:
+def update_metadata(spark: SparkSession, cfg: Config, **found: Any) -> str:
     """Put what was found into the date's JSON, on top of what is there; an earlier backup id stays if none is set now."""
-    path = Path(cfg.snapshot_dir) / "snapshot_metadata.json"
-    seed = {"backup_id": None, "mirror_bytes": 0, "stage_counts": [], "hydrate_counts": [], "orphan_like_rate": None, "orphan_repost_rate": None, "upload": None}
-    old = json.loads(path.read_text()) if path.exists() else {}
-    new = seed | old | found | {"date": cfg.snapshot_date, "url": cfg.source, "schema_version": SCHEMA_VERSION, "generated_at": datetime.datetime.now(datetime.UTC).isoformat()}
+    path, files = f"{cfg.snapshot_dir}/snapshot_metadata.json", Files(spark)
+    seed = {"backup_id": None, "mirror_bytes": 0, "stage_counts": [], "stage_counters": {}, "hydrate_counts": [], "orphan_like_rate": None, "orphan_repost_rate": None, "upload": None}
+    old = json.loads(files.read(path) or "{}")
+    new = seed | old | {k: v for k, v in found.items() if k != "backup_id" or v is not None}
+    new |= {"date": cfg.snapshot_date, "url": cfg.source, "schema_version": SCHEMA_VERSION, "generated_at": datetime.datetime.now(datetime.UTC).isoformat()}
     if cfg.backup_id is not None:
         new["backup_id"] = cfg.backup_id
-    path.parent.mkdir(parents=True, exist_ok=True)
-    part = path.with_name(f".{path.name}.part")
-    part.write_text(json.dumps(new, indent=2))
-    os.replace(part, path)
-    return str(path)
+    files.write(path, json.dumps(new, indent=2))
+    return path
 
 
 def upload(spark: SparkSession, cfg: Config) -> dict[str, int]:
     """Copy the date's folders to the store through Hadoop's file systems, which send large files in parts; files and bytes."""
     if cfg.upload is None:
         raise ValueError("no upload section")
-    conf = spark._jsc.hadoopConfiguration()
     for k, v in cfg.upload.options().items():
-        conf.set(k, v)
-    jvm = spark._jvm
-    out = {"files": 0, "bytes": 0}
-    todo: list[tuple[str, str]] = []
+        spark._jsc.hadoopConfiguration().set(k, v)
+    files, out = Files(spark), {"files": 0, "bytes": 0}
+    todo: list[tuple[str, str, int]] = []
     for name, folder in (("raw", cfg.raw_dir), ("snapshot", cfg.snapshot_dir)):
         if name not in cfg.upload.include:
             continue
-        if not os.path.isdir(folder):
+        if not files.exists(folder):
             _log.warning("nothing to upload at %s", folder)
             continue
         prefix = "/".join(x for x in (cfg.upload.root().rstrip("/"), cfg.upload.prefix.strip("/"), name, cfg.snapshot_date) if x)
-        todo += [(str(p), f"{prefix}/{p.relative_to(folder).as_posix()}") for p in sorted(Path(folder).rglob("*")) if p.is_file()]
+        todo += [(f"{folder}/{path}", f"{prefix}/{path}", size) for path, size in files.files(folder)]
 
-    def put(item: tuple[str, str]) -> int:
-        a, b = jvm.org.apache.hadoop.fs.Path(f"file://{os.path.abspath(item[0])}"), jvm.org.apache.hadoop.fs.Path(item[1])
-        jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, b.getFileSystem(conf), b, False, True, conf)
-        return os.path.getsize(item[0])
+    def put(item: tuple[str, str, int]) -> int:
+        files.copy(item[0], item[1])
+        return item[2]
 
     with concurrent.futures.ThreadPoolExecutor(cfg.upload.concurrency) as pool:
         for n in pool.map(put, todo):
             out = {"files": out["files"] + 1, "bytes": out["bytes"] + n}
-    update_metadata(cfg, upload=out)
+    update_metadata(spark, cfg, upload=out)
     return out
 
 
 def inspect(spark: SparkSession, path: str) -> dict[str, dict[str, int]]:
-    """Keys and bytes of each family, and `total`."""
-    rows = {r.cf: r.asDict() for r in index.statistics(index.read(spark, path)).collect()}
-    out = {cf: {k: v for k, v in r.items() if k != "cf"} for cf, r in rows.items()}
-    return out | {"total": {k: sum(x[k] for x in out.values()) for k in ("keys", "key_bytes", "value_bytes")}}
+    """Keys and bytes of files of each family, and `total`, from footers and listings."""
+    out = {r.cf or "other": {"keys": r["keys"], "file_bytes": r.file_bytes} for r in index.statistics(spark, path).collect()}
+    return out | {"total": {k: sum(x[k] for x in out.values()) for k in ("keys", "file_bytes")}}
 
 
 def build(spark: SparkSession, cfg: Config, log: Callable[[str], None] = print) -> None:
-    done = mirror(cfg)
-    update_metadata(cfg, mirror_bytes=done["bytes"])
+    done = mirror(spark, cfg)
+    update_metadata(spark, cfg, mirror_bytes=done["bytes"])
     log(f"mirror: {done['bytes']} bytes")
     log(f"stage: {stage(spark, cfg)}")
     log(f"hydrate: {hydrate(spark, cfg)}")

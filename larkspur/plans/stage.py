@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,21 +15,23 @@ from larkspur.types import BLOCK, FOLLOW, LIKE, REPOST, SUBJECT, SUBJECT_URI
 BRANCH_PATHS = {"follows": (FOLLOW, SUBJECT), "blocks": (BLOCK, SUBJECT), "likes": (LIKE, SUBJECT_URI), "reposts": (REPOST, SUBJECT_URI)}
 
 
+#: The families that tables are made from.
+READ = ("did_ids", "link_targets", "target_ids")
+
+
 @dataclass
 class Staged:
     tables: dict[str, DataFrame]
     parts: dict[str, DataFrame]  # what the tables are joined from
-    held: list[DataFrame]
 
-    def release(self) -> None:
-        for df in self.held:
-            df.unpersist()
+
+def stage(kv: DataFrame) -> Staged:
+    """Lazy tables from an index, which is decoded for each of them; a build keeps the decoded families and joins those."""
+    return join(*(index.entries(kv, cf) for cf in READ))
 
 
-def stage(kv: DataFrame, persist: bool = True) -> Staged:
-    """Lazy tables from an index. persist: keep the three decoded families, which several tables read, until release()."""
-    actors, links, targets = (index.entries(kv, cf) for cf in ("did_ids", "link_targets", "target_ids"))
-    held = [x.persist(StorageLevel.MEMORY_AND_DISK) for x in (actors, links, targets)] if persist else []
+def join(actors: DataFrame, links: DataFrame, targets: DataFrame) -> Staged:
+    """Lazy tables from the decoded families."""
     parts = {f"lt_{name[:-1]}": records.keyed(links, *path) for name, path in BRANCH_PATHS.items()}
     posts = records.post_records(links, actors)
     parts |= {"lt_post_records": posts.drop("links"), "lt_post_refs": records.post_refs(posts), "t_post_refs": records.target_posts(targets), "t_did_refs": records.target_actors(targets, actors), "posts_from_targets_raw": records.sighted_posts(targets, actors)}
@@ -43,23 +45,26 @@ def stage(kv: DataFrame, persist: bool = True) -> Staged:
         "posts_from_records": edges.posts_from_records(parts["lt_post_records"], pivoted),
         "posts_from_targets": edges.distinct_posts(parts["posts_from_targets_raw"]),
     }
-    return Staged(tables, parts, held)
+    return Staged(tables, parts)
+
+
+def lost(actors: DataFrame, links: DataFrame, targets: DataFrame) -> DataFrame:
+    """(name, n) of what the decoded families name and lack, and of rows that nothing is made from."""
+    parsed = targets.select(records.parse_uri(F.col("target")).alias("u")).where(F.col("u.collection") == records.POST)
+    return _counts({
+        "missing_author": links.where(F.col("collection") == records.POST).join(actors, "did_id", "left_anti"),
+        "missing_did": targets.where(records.names_actor()).join(actors.select(F.col("did").alias("target")), "target", "left_anti"),
+        "missing_post_author": parsed.select(F.col("u.did").alias("did")).join(actors, "did", "left_anti"),
+        "unused": targets.where(~(records.names_post() | records.names_actor())),
+    })
+
+
+def _counts(frames: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n") for name, df in frames.items()])
 
 
 def report(kv: DataFrame) -> DataFrame:
-    """(name, n): entries scanned and bad of each family, records by branch, and what targets and records fail to name."""
+    """(name, n): entries scanned and bad of each family, records by branch, and what targets and records fail to name. Decodes the index anew."""
     bad = [index.decoded(kv, cf).agg(F.count(F.lit(1)).alias("scanned"), F.count_if(F.col("entry").isNull()).alias("bad")).select(F.explode(F.create_map(F.lit(f"{cf}_scanned"), "scanned", F.lit(f"{cf}_bad"), "bad")).alias("name", "n")) for cf in ("did_ids", "link_targets", "target_ids")]
-    actors, links, targets = (index.entries(kv, cf) for cf in ("did_ids", "link_targets", "target_ids"))
-    staged = stage(kv, persist=False)
-    one = lambda name, df: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-    parsed = targets.select(records.parse_uri(F.col("target")).alias("u")).where(F.col("u.collection") == records.POST)
-    lost = [
-        one("missing_author", links.where(F.col("collection") == records.POST).join(actors, "did_id", "left_anti")),
-        one("missing_did", targets.where(records.names_actor()).join(actors.select(F.col("did").alias("target")), "target", "left_anti")),
-        one("missing_post_author", parsed.select(F.col("u.did").alias("did")).join(actors, "did", "left_anti")),
-        one("unused", targets.where(~(records.names_post() | records.names_actor()))),
-    ]
-    out = bad[0]
-    for x in [*bad[1:], *[one(name, df) for name, df in staged.parts.items()], *lost]:
-        out = out.unionByName(x)
-    return out
+    families = [index.entries(kv, cf) for cf in READ]
+    return reduce(DataFrame.unionByName, [*bad, _counts(join(*families).parts), lost(*families)])

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from urllib.parse import urlencode
-from xml.etree import ElementTree
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,24 +10,19 @@ from pyspark.sql import functions as F
 from larkspur.functions.uris import top_prefix
 
 LISTING = "key STRING, size BIGINT"
-_S3 = "{http://s3.amazonaws.com/doc/2006-03-01/}"
+_log = logging.getLogger(__name__)
 
 
-def list_pages(fetch, prefix: str = "", page: int = 1000) -> Iterator[tuple[str, int]]:
-    """(key, size) of all objects; fetch(query string) gives one page of a ListObjectsV2 answer as bytes. Pages follow until one is not truncated."""
-    token = None
-    while True:
-        query = {"list-type": "2", "max-keys": str(page), "prefix": prefix} | ({"continuation-token": token} if token else {})
-        root = ElementTree.fromstring(fetch(urlencode(query)))
-        for item in root.iter(f"{_S3}Contents"):
-            yield item.findtext(f"{_S3}Key", ""), int(item.findtext(f"{_S3}Size", "0"))
-        token = root.findtext(f"{_S3}NextContinuationToken")
-        if root.findtext(f"{_S3}IsTruncated", "false").lower() != "true" or not token:
-            return
+def listing(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+    """(key, size) of the files under a folder or bucket whose key, the path below root, begins with the prefix.
 
-
-def listing(spark: SparkSession, objects: Iterable[tuple[str, int]]) -> DataFrame:
-    return spark.createDataFrame(list(objects), LISTING)
+    Spark lists the store, in parallel where it has many folders; no file is opened. Files that begin with "." or "_" are none of it.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(root)
+    at = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString().rstrip("/")
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", F.col("length").alias("size"))
+    below = F.length(F.regexp_replace(F.lit(at), "^file:/+", "file:/")) + 2  # paths of the local store come with one slash or three
+    return rows.select(F.substr(F.regexp_replace("path", "^file:/+", "file:/"), below).alias("key"), "size").where(F.startswith("key", F.lit(prefix)))
 
 
 def manifest(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
@@ -53,5 +46,19 @@ def found(objects: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def missing(objects: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Keys that a manifest names and the listing lacks, each once."""
-    return wanted.select("key").distinct().join(objects, "key", "left_anti")
+    """Keys that a manifest names and the listing lacks, each once, in order of code points."""
+    return wanted.select("key").distinct().join(objects, "key", "left_anti").orderBy("key")
+
+
+def check(objects: DataFrame, wanted: DataFrame, stated: int | None = None, first: int = 5) -> dict[str, object]:
+    """What a manifest's objects come to: how many it names and the store has, their bytes, and the first few that are missing.
+
+    A count that the manifest states and that its lines don't bear out is warned of.
+    """
+    named = wanted.select("key").distinct().count()
+    lines = wanted.count()
+    if stated is not None and stated != lines:
+        _log.warning("the manifest says %d files and names %d", stated, lines)
+    n, size = found(objects, wanted).agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    lost = [r.key for r in missing(objects, wanted).limit(first).collect()]
+    return {"named": named, "found": n, "bytes": size, "missing": named - n, "first_missing": lost}

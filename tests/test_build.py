@@ -56,7 +56,7 @@ def network():
 
 
 def built(spark, ix):
-    staged = staging.stage(ix.frame(spark), persist=False)
+    staged = staging.stage(ix.frame(spark))
     tables = dict(staged.tables)
     for name, make in hydrate.STAGES:
         tables[name] = make(tables)
@@ -150,7 +150,7 @@ def test_build_on_disk(spark, network, tmp_path):
     ix, *_ = network
     kv.write(ix.frame(spark), f"{tmp_path}/source")
     cfg = Config(source=f"{tmp_path}/source", work_dir=f"{tmp_path}/var", snapshot_date="2024-01-15", chunks=4, backup_id=679, upload=Upload(bucket=f"{tmp_path}/store", prefix="/p/"))
-    assert not snapshot.mirror(cfg)["skipped"] and snapshot.mirror(cfg)["skipped"]
+    assert not snapshot.mirror(spark, cfg)["skipped"] and snapshot.mirror(spark, cfg)["skipped"]
     assert snapshot.stage(spark, cfg)["likes"] == 4
     done = snapshot.hydrate(spark, cfg)
     assert done["counts"] == {"actors": 4, "follows": 5, "blocks": 1, "likes": 4, "reposts": 1, "posts": 5, "actor_aggs": 4, "post_aggs": 5}
@@ -164,7 +164,7 @@ def test_build_on_disk(spark, network, tmp_path):
     assert snapshot.upload(spark, cfg)["files"] > 8 and (tmp_path / "store/p/raw/2024-01-15/actors.parquet/_SUCCESS").exists()
     said = json.loads((tmp_path / "var/snapshot/2024-01-15/snapshot_metadata.json").read_text())
     assert said["backup_id"] == 679 and dict(said["stage_counts"])["follows"] == 5 and said["schema_version"] == 1 and said["upload"]["files"] > 8
-    snapshot.update_metadata(Config(source="x", work_dir=f"{tmp_path}/var", snapshot_date="2024-01-15"))
+    snapshot.update_metadata(spark, Config(source="x", work_dir=f"{tmp_path}/var", snapshot_date="2024-01-15"))
     assert json.loads((tmp_path / "var/snapshot/2024-01-15/snapshot_metadata.json").read_text())["backup_id"] == 679
     stats = snapshot.inspect(spark, cfg.mirror_dir)
     assert stats["did_ids"]["keys"] == 8 and stats["target_links"]["keys"] == 0 and stats["total"]["keys"] == sum(v["keys"] for k, v in stats.items() if k != "total")
@@ -181,7 +181,7 @@ def test_chunks(spark, tmp_path):
 
 def test_synthetic(spark):
     rows = synthetic.generate(spark, actors=12, scale=0.1, partitions=2)
-    staged = staging.stage(rows, persist=False)
+    staged = staging.stage(rows)
     n = {k: v.count() for k, v in staged.tables.items()}
     assert n["actors"] == 12 and n["likes"] > 0 and n["likes"] % 15 == 0 and n["follows"] % 8 == 0
     assert sorted(map(repr, rows.collect())) == sorted(map(repr, synthetic.generate(spark, actors=12, scale=0.1, partitions=5).collect()))
@@ -189,6 +189,77 @@ def test_synthetic(spark):
     assert said["did_ids_bad"] == said["link_targets_bad"] == said["target_ids_bad"] == 0
 
 
+def test_decoding_column_by_column():
+    """Whole columns against the reader of single values, on entries cut, changed and put together at random."""
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    shapes = {
+        "did_ids": (bincode.did, bincode.did_value), "link_targets": (bincode.record_key, bincode.record_links),
+        "target_links": (lambda r: {"target_id": r.id()}, bincode.linkers),
+    }
+    number = lambda: bincode.integer(rng.choice([0, 5, 250, 251, 70_000, 2**33, 2**64 - 1, rng.randrange(2**64)]))
+    text = lambda: bincode.string("".join(rng.choice("aé🙂.:") for _ in range(rng.choice([0, 1, 5, 200]))))
+    made = {
+        "did_ids": lambda: (text(), number() + bytes([rng.choice([0, 1, 1, 2])])),
+        "link_targets": lambda: (number() + text() + text(), bincode.integer(n := rng.choice([0, 1, 2, 300])) + b"".join(text() + number() for _ in range(n))),
+        "target_links": lambda: (number(), bincode.integer(n := rng.choice([0, 1, 3])) + b"".join(number() + text() for _ in range(n))),
+        "target_ids": lambda: (rng.randbytes(rng.choice([8, 8, 8, 7])), text() + text() + text()),
+    }
+
+    def harmed(b):
+        k = rng.random()
+        if k < 0.6 or not b:
+            return b
+        if k < 0.7:
+            return b[: rng.randrange(len(b))]
+        if k < 0.8:
+            return b + b"\0"
+        if k < 0.97:
+            at = rng.randrange(len(b))
+            return b[:at] + bytes([rng.randrange(256)]) + b[at + 1 :]
+        return None
+
+    for cf, make in made.items():
+        rows = [tuple(harmed(x) for x in make()) for _ in range(1500)] + [(b"", b"")]
+        for part in (rows, rows[:1], []):
+            got = bincode.entries(cf, *(pa.array([r[i] for r in part], pa.binary()) for i in (0, 1))).to_pylist()
+            for (k, v), entry in zip(part, got, strict=True):
+                if cf == "target_ids":
+                    a = {"target_id": int.from_bytes(k, "big", signed=True)} if k is not None and len(k) == 8 else None
+                    b = bincode.decode(v, bincode.target_key)
+                else:
+                    a, b = (bincode.decode(x, f) for x, f in zip((k, v), shapes[cf], strict=True))
+                assert entry == (None if a is None or b is None else a | b)
+        sliced = [pa.array([r[i] for r in rows], pa.binary())[7:90] for i in (0, 1)]
+        assert bincode.entries(cf, *sliced).to_pylist() == bincode.entries(cf, *(pa.array(x.to_pylist(), pa.binary()) for x in sliced)).to_pylist()
+
+
+def test_counters_backups_and_estimates(spark, network, tmp_path, caplog):
+    ix, *_ = network
+    bad = spark.createDataFrame([("did_ids", bytearray(b"\x05ab"), bytearray(b"\1\1")), ("link_targets", bytearray(b"\xff"), bytearray(b"\0"))], kv.KV)
+    kv.write(ix.frame(spark), f"{tmp_path}/backups/7")
+    kv.write(ix.frame(spark).unionByName(bad), f"{tmp_path}/backups/12")
+    cfg = Config(source=f"{tmp_path}/backups", work_dir=f"{tmp_path}/var", snapshot_date="2024-01-15")
+    snapshot.mirror(spark, cfg)
+    assert json.loads((tmp_path / "var/index/.cursor").read_text())["backup_id"] == 12
+    with caplog.at_level("WARNING"):
+        snapshot.stage(spark, cfg)
+    assert "did_ids: 1 of 5 entries are malformed" in caplog.text and "05ab" in caplog.text.replace("\\x", "")
+    said = json.loads((tmp_path / "var/snapshot/2024-01-15/snapshot_metadata.json").read_text())
+    assert said["backup_id"] == 12 and said["stage_counters"]["did_ids_bad"] == said["stage_counters"]["link_targets_bad"] == 1
+    assert said["stage_counters"]["did_ids_scanned"] == 5 and said["stage_counters"]["target_ids_bad"] == 0 and said["stage_counters"]["unused"] == 2
+    assert not (tmp_path / "var/scratch/2024-01-15").exists()
+    old = Config(source=cfg.source, work_dir=f"{tmp_path}/old", snapshot_date="2024-01-15", backup_id=7)
+    snapshot.mirror(spark, old)
+    assert snapshot.inspect(spark, old.mirror_dir)["did_ids"]["keys"] == 8 and snapshot.inspect(spark, cfg.mirror_dir)["did_ids"]["keys"] == 9
+    assert kv.estimate_keys(spark, cfg.mirror_dir, "did_ids") == 9 and kv.estimate_keys(spark, cfg.mirror_dir, "nothing") == 0
+    with pytest.raises(FileNotFoundError):
+        snapshot.mirror(spark, Config(source=cfg.source, work_dir=f"{tmp_path}/none", snapshot_date="2024-01-15", backup_id=8))
+
+
 def test_settings(tmp_path, monkeypatch):
     assert [parse_size(x) for x in ("1GiB", "1.5k", "300 MB", "77", "2b", "1T")] == [2**30, 1536, 300 * 2**20, 77, 2, 2**40]
     for bad in ("", "x", "1q", "1.2.3G"):
@@ -202,18 +273,34 @@ def test_settings(tmp_path, monkeypatch):
     assert cfg.upload.options()["fs.s3a.endpoint"].startswith("https://acc.") and len(cfg.snapshot_date) == 10
     with pytest.raises(ValueError):
         Upload(kind="tape").root()
+    assert [format_bytes(n) for n in (0, 1, 1023, 1024, 2**40 - 2**30, 2**62)] == ["0.00 B", "1.00 B", "1023.00 B", "1.00 KiB", "1023.00 GiB", "4096.00 PiB"]
+    assert Config(memory_limit="2GiB").spark_memory() == "2048m" and Config(memory_limit="1k").spark_memory() == "512m"
+    monkeypatch.setenv("AWS_ACCESS_KEY_ID", "i")
+    monkeypatch.delenv("AWS_SECRET_ACCESS_KEY", raising=False)
+    with pytest.raises(ValueError):
+        Upload(kind="s3a").options()
+    monkeypatch.setenv("AWS_SECRET_ACCESS_KEY", "s")
+    assert Upload(kind="s3a").options()["fs.s3a.secret.key"] == "s"
 
 
-def test_objects(spark, tmp_path):
-    pages = iter([b'<R xmlns="http://s3.amazonaws.com/doc/2006-03-01/"><Contents><Key>a/1</Key><Size>5</Size></Contents><IsTruncated>true</IsTruncated><NextContinuationToken>t</NextContinuationToken></R>', b'<R xmlns="http://s3.amazonaws.com/doc/2006-03-01/"><Contents><Key>b</Key><Size>7</Size></Contents><Contents><Key>a/2</Key><Size>1</Size></Contents></R>'])
-    asked = []
-    listed = objects.listing(spark, objects.list_pages(lambda q: asked.append(q) or next(pages)))
-    assert "continuation-token=t" in asked[1]
+def test_objects(spark, tmp_path, caplog):
+    for key, n in (("a/1", 5), ("a/2", 1), ("b", 7), ("c d+é%/x", 3)):
+        (tmp_path / "store" / key).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "store" / key).write_bytes(b"x" * n)
+    everything = objects.listing(spark, f"{tmp_path}/store")
+    assert sorted(tuple(r) for r in everything.collect()) == [("a/1", 5), ("a/2", 1), ("b", 7), ("c d+é%/x", 3)]
+    assert objects.listing(spark, f"{tmp_path}/store/", "a/").count() == 2
+    listed = everything.where("size <> 3")
     assert [tuple(r) for r in objects.by_prefix(listed).collect()] == [("b", 7, 1), ("a", 6, 2)]
     (tmp_path / "m").write_text("1\n2\n3\na/1 crc32 9\n\nc/3 crc32 8\n a/1 x\n")
     wanted, stated = objects.manifest(spark, f"{tmp_path}/m")
     assert stated == 3 and sorted(r.key for r in wanted.collect()) == ["a/1", "a/1", "c/3"]
     assert [r.key for r in objects.missing(listed, wanted).collect()] == ["c/3"] and [r.key for r in objects.found(listed, wanted).collect()] == ["a/1"]
+    with caplog.at_level("WARNING"):
+        assert objects.check(listed, wanted, stated) == {"named": 2, "found": 1, "bytes": 5, "missing": 1, "first_missing": ["c/3"]}
+    assert not caplog.records
+    many = spark.createDataFrame([(f"z/{i}",) for i in range(9, 0, -1)] + [("b",)], "key STRING")
+    assert objects.check(listed, many, 11)["first_missing"] == [f"z/{i}" for i in range(1, 6)] and "says 11 files and names 10" in caplog.text
 
 
 def test_stream(spark, network, tmp_path):
