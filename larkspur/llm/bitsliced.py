@@ -14,10 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import materialise
-from larkspur.llm.vectors import best, dealt, matrix, met, usable
+from larkspur.llm.vectors import Answer, best, dealt, matrix, met, usable
 
 INDEX = "dim int, block long, rows int, ids binary, low binary, places binary, slices binary"
-FOUND = "query_id long, vec_id long, score long"
 
 
 def _pack(bits: np.ndarray) -> np.ndarray:
@@ -124,7 +123,7 @@ def quantised(df: DataFrame, key: str = "vec_id", vector: str = "embedding", sca
     return usable(df, key, vector, zero=True).withColumn("v", F.transform("v", whole))
 
 
-def build(rows: DataFrame, block: int = 1 << 15) -> DataFrame:
+def build(rows: DataFrame, block: int = 1 << 14) -> DataFrame:
     """The index: a row of INDEX for each block of about `block` rows of one dimension, kept in the shared folder."""
 
     def one(x: pa.Table) -> pa.Table:
@@ -133,26 +132,25 @@ def build(rows: DataFrame, block: int = 1 << 15) -> DataFrame:
         data = [[dim], [x["block"][0].as_py()], [len(s.ids)], *([a.tobytes()] for a in (s.ids, s.low, s.places, s.slices))]
         return pa.table([pa.array(c, t) for c, t in zip(data, (pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4), strict=True)], names=[x.split()[0] for x in INDEX.split(", ")])
 
-    return materialise(dealt(rows, block)[0].groupBy("dim", "block").applyInArrow(one, INDEX))
+    return materialise(dealt(rows, block).groupBy("dim", "block").applyInArrow(one, INDEX))
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, chunk: int = 128) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int, chunk: int = 128, held: int = 16, tasks: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k highest integer inner products with rows of other ids, all rows if fewer.
 
     queries: (id, v, dim) as quantised() gives them. Ties go to the smaller vec_id; a repeated id counts as often as it has
-    rows; equal query rows are answered once. No rows or no queries give no rows; vectors only meet those of their dimension.
+    rows; equal query rows are answered once, rows of one id with other vectors each. No rows or no queries give no rows;
+    vectors only meet those of their dimension. chunk: queries to a packet. held: blocks that a task may hold at once.
     """
 
-    def found(a: pa.Table, b: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(a) and len(b):
-            row = {c: a[c][0].as_py() for c in a.column_names}
-            low, places = np.frombuffer(row["low"], np.int64), np.frombuffer(row["places"], np.int64)
-            s = Slices(np.frombuffer(row["ids"], np.int64), low, places, np.frombuffer(row["slices"], np.uint64).reshape(row["dim"], max(int(places.max(initial=0)), 1), -(-row["rows"] // 64)))
-            for q, v in zip(b["id"].to_numpy(), matrix(b["v"], row["dim"]).astype(np.int64), strict=True):
-                ids, scores = s.top(v, k, int(q))
-                out.append((np.full(len(ids), q), ids, scores))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), (pa.array(c, pa.int64()) for c in columns), strict=True)))
-
-    return best(met(index, queries.dropDuplicates(["id", "v"]), chunk, found, FOUND), k, "score")
+    def load(row: dict) -> Slices:
+        low, places = np.frombuffer(row["low"], np.int64), np.frombuffer(row["places"], np.int64)
+        slices = np.frombuffer(row["slices"], np.uint64).reshape(row["dim"], max(int(places.max(initial=0)), 1), -(-row["rows"] // 64))
+        return Slices(np.frombuffer(row["ids"], np.int64), low, places, slices)
+
+    def ask(block: Slices, asked: np.ndarray, q: np.ndarray) -> Answer:
+        found = [block.top(v, k, int(own)) for own, v in zip(asked, q.astype(np.int64), strict=True)]
+        place = np.repeat(np.arange(len(asked)), [len(ids) for ids, _ in found])
+        return place, np.concatenate([ids for ids, _ in found]), np.concatenate([scores for _, scores in found])
+
+    return best(met(index, queries, k, chunk, held, load, ask, "long", tasks), k)

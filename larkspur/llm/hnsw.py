@@ -15,10 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import materialise
-from larkspur.llm.vectors import best, dealt, matrix, met, usable
+from larkspur.llm.vectors import Answer, best, dealt, matrix, met, usable
 
 INDEX = "dim int, block long, nodes int, vectors binary, ids binary, starts binary, levels array<struct<nodes:int,width:int,neighbours:binary>>"
-FOUND = "query_id long, vec_id long, score double"
 
 
 def _nearest(d: np.ndarray, k: int) -> np.ndarray:
@@ -178,18 +177,73 @@ class Graph:
             at = np.where(at < 0, at[:, :1], at)[:, :1]
         return at
 
-    def search(self, q: np.ndarray, width: int) -> np.ndarray:
-        """Nodes of the largest inner products with each query that the search finds, -1 behind."""
+    def search(self, q: np.ndarray, width: int, starts: np.ndarray | None = None) -> np.ndarray:
+        """Nodes of the largest inner products with each query that the search finds, -1 behind. starts: nodes that all searches of the lowest layer start from, instead of where the layers above lead."""
         # A query's length changes no order of inner products, so that tiny and huge ones lose no precision.
         length = np.sqrt(np.einsum("ij,ij->i", q, q))[:, None]
         scale = np.sqrt(self.norms.max(initial=0)) or 1.0
         q = np.concatenate([q / np.where(length > 0, length, 1) * scale, np.zeros((len(q), 1))], axis=1).astype(np.float32)
         lowest, self.levels = self.levels[0], self.levels[1:]
-        entries = self.entries(q)
+        entries = self.entries(q) if starts is None else np.tile(starts.astype(np.int32), (len(q), 1))
         self.levels = [lowest, *self.levels]
         return beam(self.x, self.norms, lowest, q, entries, width)[0]
 
 
+class Shard:
+    """A shard that answers: its graph, the original vectors in the graph's order, and each node's ids, in order."""
+
+    def __init__(self, row: dict) -> None:
+        self.vectors = np.frombuffer(row["vectors"], np.float64).reshape(row["nodes"], row["dim"])
+        self.ids, self.starts = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["starts"], np.int64)
+        links = [np.frombuffer(x["neighbours"], np.int32).reshape(x["nodes"], x["width"]) for x in row["levels"]]
+        self.graph = Graph(self.vectors / (np.abs(self.vectors).max(initial=0) or 1.0), links)
+        self.sizes = np.diff(self.starts)
+        self.order = np.argsort(self.ids, kind="stable")
+        self.ordered, self.holder = self.ids[self.order], np.repeat(np.arange(len(self.sizes)), self.sizes)[self.order]
+
+    def holders(self, query_id: int) -> np.ndarray:
+        """The node of each row that has the query's id."""
+        return self.holder[np.searchsorted(self.ordered, query_id) : np.searchsorted(self.ordered, query_id, "right")]
+
+    def nodes(self, asked: np.ndarray, q: np.ndarray, k: int, width: int) -> list[np.ndarray]:
+        """Nodes for each query that hold k ids other than its own, or all there are; searches that found fewer are widened, and in the end start everywhere."""
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(q)
+        left, width, everywhere = np.arange(len(q)), max(width, k), False
+        while len(left):
+            for i, at in zip(left, self.graph.search(q[left], width, np.arange(len(self.vectors)) if everywhere else None), strict=True):
+                out[i] = at[at >= 0]
+            if everywhere:
+                break
+            short = []
+            for i in left:
+                own = self.holders(asked[i])
+                held = self.sizes[out[i]].sum() - np.isin(own, out[i]).sum()
+                short.append(held < min(k, len(self.ids) - len(own)))
+            left, everywhere = left[np.array(short, bool)], width >= len(self.vectors)
+            width = min(2 * width, len(self.vectors))
+        return out
+
+    def answer(self, asked: np.ndarray, q: np.ndarray, k: int, width: int) -> Answer:
+        """At least the k best of the found ids but each query's own, scored in doubles from the original vectors."""
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for i, at in enumerate(self.nodes(asked, q, k, width)):
+            s = (self.vectors[at] * q[i]).sum(axis=1)
+            order = np.argsort(-s, kind="stable")
+            at, s = at[order], s[order]
+            if len(at) > k + 1:  # what ties with the last that can be needed stays
+                at = at[s >= s[k]]
+            # Ids of a node are in order: its first k and the query's own hold all that can be among the k best.
+            spans = [self.ids[self.starts[n] : self.starts[n + 1]] for n in at]
+            spans = [x[: k + int(np.searchsorted(x, asked[i], "right") - np.searchsorted(x, asked[i]))] if len(x) > k else x for x in spans]
+            ids = np.concatenate(spans) if spans else np.zeros(0, np.int64)
+            scores = np.repeat(s[: len(at)], [len(x) for x in spans])
+            ids, scores = ids[ids != asked[i]], scores[ids != asked[i]]
+            top = np.lexsort((ids, -scores))[:k]
+            out.append((np.full(len(top), i), ids[top], scores[top]))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        return columns[0].astype(np.int64), columns[1], columns[2]
+
+
 def build(rows: DataFrame, shard_rows: int = 1 << 13, m: int = 16, width: int = 96) -> DataFrame:
     """The index: a row of INDEX for each shard of about `shard_rows` rows of one dimension, kept in the shared folder."""
 
@@ -209,43 +263,19 @@ def build(rows: DataFrame, shard_rows: int = 1 << 13, m: int = 16, width: int =
         kinds = (pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.struct([("nodes", pa.int32()), ("width", pa.int32()), ("neighbours", pa.binary())])))
         return pa.table([pa.array(c, k) for c, k in zip(data, kinds, strict=True)], names=["dim", "block", "nodes", "vectors", "ids", "starts", "levels"])
 
-    return materialise(dealt(rows, shard_rows)[0].groupBy("dim", "block").applyInArrow(one, INDEX))
+    return materialise(dealt(rows, shard_rows).groupBy("dim", "block").applyInArrow(one, INDEX))
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, width: int = 128, chunk: int = 512) -> DataFrame:
-    """query_id, rank, vec_id, score: of the rows of other ids, the k of largest inner product that the graphs find (all, if fewer than `width`).
+def search(index: DataFrame, queries: DataFrame, k: int, width: int = 320, chunk: int = 256, held: int = 16, tasks: int | None = None) -> DataFrame:
+    """query_id, rank, vec_id, score: of the rows of other ids, the k of largest inner product that the graphs find; all of them, if fewer.
 
     queries: (id, v, dim) of usable vectors. Scores are taken anew in doubles from the original vectors; ties go to the
-    smaller vec_id. A repeated id counts as often as it has rows; equal query rows are answered once. No rows or no
-    queries give no rows; vectors only meet those of their dimension.
+    smaller vec_id. A repeated id counts as often as it has rows; equal query rows are answered once, rows of one id with other
+    vectors each. No rows or no queries give no rows; vectors only meet those of their dimension. Every shard's search is of the
+    graph, `width` nodes wide, k at least; where it reaches fewer than k ids it is widened until it does or all are reached.
+    chunk: queries to a packet. held: shards that a task may hold at once.
     """
-
-    def found(a: pa.Table, b: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(a) and len(b):
-            row = {c: a[c][0].as_py() for c in a.column_names}
-            v = np.frombuffer(row["vectors"], np.float64).reshape(row["nodes"], row["dim"])
-            ids, starts = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["starts"], np.int64)
-            links = [np.frombuffer(x["neighbours"], np.int32).reshape(x["nodes"], x["width"]) for x in row["levels"]]
-            g = Graph(v / (np.abs(v).max(initial=0) or 1.0), links)
-            asked, q = b["id"].to_numpy(), matrix(b["v"], row["dim"])
-            few = len(v) <= width
-            nodes = np.tile(np.arange(len(v)), (len(q), 1)) if few else g.search(q, width)
-            for query_id, vector, at in zip(asked, q, nodes, strict=True):
-                at = at[at >= 0]
-                s = v[at] @ vector
-                at = at[np.argsort(-s, kind="stable")]
-                # Ids of a node are in order: its first k and the query's own hold all that can be among the k best.
-                own = [ids[starts[i] : starts[i] + k + 1 + int(np.searchsorted(ids[starts[i] : starts[i + 1]], query_id, "right") - np.searchsorted(ids[starts[i] : starts[i + 1]], query_id))][: starts[i + 1] - starts[i]] for i in at]
-                scores = np.repeat([float(np.sum(v[i] * vector)) for i in at], [len(x) for x in own]) if own else np.zeros(0)
-                cand = np.concatenate(own) if own else np.zeros(0, np.int64)
-                scores, cand = scores[cand != query_id], cand[cand != query_id]
-                top = np.lexsort((cand, -scores))[:k]
-                out.append((np.full(len(top), query_id), cand[top], scores[top]))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
-
-    return best(met(index, queries.dropDuplicates(["id", "v"]), chunk, found, FOUND), k, "score")
+    return best(met(index, queries, k, chunk, held, Shard, lambda shard, asked, q: shard.answer(asked, q, k, width), "double", tasks), k)
 
 
 def vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
