@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import math
 import re
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,24 +31,61 @@ def word_count(text: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which all executors share; one of our own only where none is set, as in tests."""
+    """The folder of spark.checkpoint.dir, which all executors share; one of our own only in a local session that has none, as in tests."""
     sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir() or tempfile.mkdtemp(prefix="larkspur-")
+    folder = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not folder:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="larkspur-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(folder)
     return folder
 
 
+#: Folders of checkpoints made since the innermost open scratch() began.
+_made: list[list[str]] = []
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut the lineage in the shared folder, which outlives lost executors."""
     shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    if _made:
+        _made[-1].append(out._jdf.queryExecution().logical().rdd().getCheckpointFile().get())
+    return out
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any store that Spark reaches."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is materialised inside is removed at the end, for steps that have written their result elsewhere by then.
+
+    Other checkpoints live as long as the frames that read them: spark.cleaner.referenceTracking.cleanCheckpoints removes those.
+    """
+    _made.append([])
+    try:
+        yield
+    finally:
+        for path in _made.pop():
+            remove(spark, path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan's rows over all cores where its files or row groups are fewer; else the scan as it is, and nothing moves."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def lean(df: DataFrame) -> DataFrame:
-    """The frame, with at most 8 MB of rows handed to Python at once in its session, unless the session says otherwise than Spark does.
+    """The frame; its session hands at most 8 MB of rows to Python at once from now on, unless it says otherwise than Spark does.
 
-    Long texts make Spark's 64 MB batches the largest thing in a worker's and in an executor's memory.
+    The setting stays, since the frame runs later. Long texts make Spark's 64 MB batches the largest thing in a worker's and in an executor's memory.
     """
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     if conf.get(name) in ("67108864b", "67108864", "64m", "64MB"):
@@ -82,6 +121,12 @@ def share_of(key: Column, part: float, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < F.lit(int(min(part, 1.0) * (1 << 30)))
 
 
+def thinned(rows: DataFrame, key: str, text: str, text_bytes: int, seed: int) -> DataFrame:
+    """The rows, or about the share of them, by a hash of the key, whose texts come to text_bytes."""
+    held = rows.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    return rows if held <= text_bytes else rows.where(share_of(F.col(key), text_bytes / held, seed))
+
+
 def with_field(df: DataFrame, name: str, kind: DataType) -> StructType:
     return StructType([*df.schema.fields, StructField(name, kind)])
 
@@ -90,7 +135,8 @@ def sifted(df: DataFrame, value: Column, keys: DataFrame, name: str, seed: int =
     """The rows with a boolean column more: true wherever the BIGINT value is among the keys (one BIGINT column), and seldom elsewhere.
 
     The keys become a bitmap of 16 bits each, 2**26 bits at most whatever their number, which is broadcast in words of 64: 2**20
-    narrow rows at most. No row is moved; what passes wrongly has to be told apart by a join, which then moves few rows.
+    narrow rows at most. No row is moved; what passes wrongly has to be told apart by a join, which then moves few rows. Beyond
+    some 2**25 keys the bitmap fills up and more rows pass: the join moves more, up to all rows, and stays right.
     """
     word, bit, held = (free_name(df, x) for x in ("word", "bit", "held"))
     hashed = keys.select(F.xxhash64(F.lit(seed), keys[keys.columns[0]]).alias("h"))

@@ -8,11 +8,13 @@ threads. The sentencepiece library is only the reference that parity is verified
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -109,46 +111,32 @@ class Model:
             out.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
         out.add_tokens([AddedToken(p, normalized=False) for p, _, t in self.pieces if t == USER])
         strip = [decoders.Strip(" ", 1, 0)] if self.dummy_prefix else []
-        out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *strip])
+        out.decoder = decoders.Sequence([decoders.Metaspace(MARK, "never"), decoders.ByteFallback(), decoders.Fuse(), *strip])
         return out
 
-    def plain(self, text: str) -> str:
-        """What decoding an encoded text gives: the text as the normaliser leaves it. Only for models without a character map."""
+    def plain(self, text: str, tokenizer) -> str:
+        """What decoding an encoded text gives: the text as the normaliser leaves it."""
+        if self.charsmap:
+            text = tokenizer.normalizer.normalize_str(text).replace(MARK, " ")
+            return text[1:] if self.dummy_prefix and text[:1] == " " else text
         text = text.replace(MARK, " ")
         if self.squeeze:
             text = " ".join(x for x in text.split(" ") if x)
         return text
 
 
-class Joiner:
-    """A quick check of decoding, which joins pieces and ASCII bytes; texts with other bytes or what is no text go to the library."""
-
-    def __init__(self, model: Model, tokenizer) -> None:
-        self.texts = [p.replace(MARK, " ") if t in (NORMAL, USER) else chr(int(p[3:5], 16)) if t == BYTE and p[3] < "8" else None for p, _, t in model.pieces]
-        self.strip, self.tokenizer = model.dummy_prefix, tokenizer
-
-    def decode(self, batch: list[list[int]]) -> list[str]:
-        out: list[str | None] = []
-        texts, hard = self.texts, []
-        for k, ids in enumerate(batch):
-            try:
-                joined = "".join([texts[i] for i in ids])
-                out.append(joined[1:] if self.strip and joined[:1] == " " else joined)
-            except TypeError:  # a None among them
-                out.append(None)
-                hard.append(k)
-        for k, text in zip(hard, self.tokenizer.decode_batch([batch[k] for k in hard], skip_special_tokens=False), strict=True):
-            out[k] = text
-        return out
-
-
 @functools.lru_cache(maxsize=2)
 def _loaded(data: bytes, threads: int):
     os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
     os.environ["RAYON_NUM_THREADS"] = str(threads)
     model = Model.parse(data)
-    tokenizer = model.tokenizer()
-    return model, tokenizer, Joiner(model, tokenizer)
+    return model, model.tokenizer()
+
+
+def _lists(ids: list[list[int]]) -> pa.Array:
+    """Lists of ids as an Arrow array, by way of flat numbers."""
+    ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.fromiter(itertools.chain.from_iterable(ids), np.int32, ends[-1])))
 
 
 def _parts(column: pa.Array, most: int = 1 << 18) -> Iterator[pa.Array]:
@@ -164,7 +152,7 @@ def _parts(column: pa.Array, most: int = 1 << 18) -> Iterator[pa.Array]:
 
 
 def encode(docs: DataFrame, model_path: str, threads: int = 2, verify: float = 1.0, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, n_tokens, ids (array of int), round_trip (decoding gives the normalised text again).
+    """Per row: key, n_tokens, ids (array of int), round_trip (the library's decoding gives the normalised text again).
 
     Null texts encode like empty ones, to no ids. Repeated rows are kept, an empty table gives no rows, other columns are
     ignored. verify: the share of keys, chosen by a hash, whose ids are held against the sentencepiece library's, all of them unless
@@ -174,7 +162,7 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2, verify: float = 1
         data = f.read()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, tokenizer, joiner = _loaded(data, threads)
+        model, tokenizer = _loaded(data, threads)
         import sentencepiece
 
         other = sentencepiece.SentencePieceProcessor(model_proto=data)
@@ -187,9 +175,9 @@ def encode(docs: DataFrame, model_path: str, threads: int = 2, verify: float = 1
                 for i, got in zip(checked, other.encode([part[i] for i in checked], num_threads=1), strict=True):
                     if got != ids[i]:
                         raise ValueError(f"{batch.column(0)[at + i]}: {len(got)} ids by sentencepiece, {len(ids[i])} here, or others")
-                back = joiner.decode(ids)
-                same = [None if model.charsmap else a == model.plain(b) for a, b in zip(back, part, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array([len(x) for x in ids], pa.int32()), pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())], [key, "n_tokens", "ids", "round_trip"])
+                back = tokenizer.decode_batch(ids, skip_special_tokens=False)
+                same = [a == model.plain(b, tokenizer) for a, b in zip(back, part, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), pa.array([len(x) for x in ids], pa.int32()), _lists(ids), pa.array(same, pa.bool_())], [key, "n_tokens", "ids", "round_trip"])
                 at += len(part)
 
     kind = docs.schema[key].dataType.simpleString()
@@ -202,7 +190,7 @@ def decode(rows: DataFrame, model_path: str, threads: int = 2, key: str = "doc_i
         data = f.read()
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, tokenizer, _ = _loaded(data, threads)
+        _, tokenizer = _loaded(data, threads)
         for batch in batches:
             got = batch.column(1).to_pylist()
             texts = tokenizer.decode_batch([x or [] for x in got], skip_special_tokens=False)

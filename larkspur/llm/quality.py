@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import held_out, lean, share_of, small, words
+from larkspur.llm.common import held_out, lean, share_of, small, thinned, words
 
 BITS = 18
 
@@ -56,6 +56,20 @@ class Model:
         return np.diff(edges, axis=1)
 
 
+def likelihood(z: np.ndarray, level: np.ndarray, t: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The mean of -log P(level) at scores z and thresholds t, and its gradient in z and in t."""
+    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    k = len(t) + 1
+    hi = np.where(level < k - 1, sig(t[np.minimum(level, k - 2)] - z), 1.0)
+    lo = np.where(level > 0, sig(t[np.maximum(level - 1, 0)] - z), 0.0)
+    p = np.maximum(hi - lo, 1e-9)
+    dhi, dlo = hi * (1 - hi) / p / len(z), lo * (1 - lo) / p / len(z)
+    dt = np.zeros(k - 1)
+    np.add.at(dt, np.minimum(level, k - 2), np.where(level < k - 1, -dhi, 0))
+    np.add.at(dt, np.maximum(level - 1, 0), np.where(level > 0, dlo, 0))
+    return float(-np.log(p).mean()), dhi - dlo, dt
+
+
 def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, passes: int = 12, batch: int = 64, rate: float = 0.3, decay: float = 1e-6, seed: int = 1) -> Model:
     """Adagrad on the negative log-likelihood; thresholds are a first one and positive steps. Fewer than two grades need no weights."""
     grades = sorted(set(y.tolist()))
@@ -69,7 +83,6 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, passes: int =
     a = np.concatenate([t[:1], np.log(np.maximum(np.diff(t), 1e-3))])
     gw, ga = np.full(1 << BITS, 1e-2), np.full(k - 1, 1e-2)
     rng = np.random.default_rng(seed)
-    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     for _ in range(passes):
         order = rng.permutation(len(rows))
         for s in range(0, len(rows), batch):
@@ -79,15 +92,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, passes: int =
             row = np.repeat(np.arange(len(pick)), [len(rows[i][0]) for i in pick])
             z = np.bincount(row, w[at] * value, minlength=len(pick))
             t = np.concatenate([a[:1], a[0] + np.cumsum(np.exp(a[1:]))])
-            lv = level[pick]
-            hi = np.where(lv < k - 1, sig(t[np.minimum(lv, k - 2)] - z), 1.0)
-            lo = np.where(lv > 0, sig(t[np.maximum(lv - 1, 0)] - z), 0.0)
-            p = np.maximum(hi - lo, 1e-9)
-            dhi, dlo = hi * (1 - hi) / p, lo * (1 - lo) / p
-            dz = (dhi - dlo) / len(pick)  # of -log p
-            dt = np.zeros(k - 1)
-            np.add.at(dt, np.minimum(lv, k - 2), np.where(lv < k - 1, -dhi, 0) / len(pick))
-            np.add.at(dt, np.maximum(lv - 1, 0), np.where(lv > 0, dlo, 0) / len(pick))
+            _, dz, dt = likelihood(z, level[pick], t)
             da = np.concatenate([[dt.sum()], [dt[j:].sum() * np.exp(a[j]) for j in range(1, k - 1)]])
             buckets, where = np.unique(at, return_inverse=True)
             g = np.bincount(where, value * dz[row]) + decay * w[buckets]
@@ -98,8 +103,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, passes: int =
     return Model(grades, np.concatenate([a[:1], a[0] + np.cumsum(np.exp(a[1:]))]), w.astype(np.float32))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = 12000) -> Model:
-    """A model from about `rows` rated rows at most, chosen by a hash of the key, outside the held-out fold. A key's ratings are averaged down to one."""
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", rows: int = 12000, text_bytes: int = 64 << 20) -> Model:
+    """A model from about `rows` rated rows at most, and no more than come to about text_bytes of text, chosen by a hash of the key, outside the held-out fold.
+
+    Of a key's ratings the lowest counts. The driver gets 8 bytes for each different word of a chosen text, and 64 for its shape.
+    """
     rated = labels.where(~held_out(F.col(key)) & F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.min(label).cast("double").alias("y"))
     n = rated.count()
     chosen = small(rated.where(share_of(F.col("k"), rows / max(n, 1), 9)), rows)
@@ -109,12 +117,10 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             pairs = [hashed(x.as_py()) for x in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([p[i].tobytes() for p in pairs], pa.binary()) for i in (0, 1)] + [batch.column(1)], ["at", "value", "y"])
 
-    got = lean(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).join(chosen, F.col("key") == F.col("k")).select("text", "y").mapInArrow(coded, "at binary, value binary, y double").orderBy("y", "at", "value")
-    sample, y = [], []
-    for r in got.toLocalIterator():
-        sample.append((np.frombuffer(r.at, np.int32), np.frombuffer(r.value, np.float32)))
-        y.append(r.y)
-    return fit(sample, np.array(y))
+    joined = lean(docs).select(F.col(key).alias("key"), F.col(text).alias("text")).join(chosen, F.col("key") == F.col("k")).select("key", "text", "y")
+    got = thinned(joined, "key", "text", text_bytes, 7).select("text", "y").mapInArrow(coded, "at binary, value binary, y double")
+    sample = sorted((r.y, bytes(r.at), bytes(r.value)) for r in got.collect())
+    return fit([(np.frombuffer(at, np.int32), np.frombuffer(value, np.float32)) for _, at, value in sample], np.array([y for y, *_ in sample]))
 
 
 def grade(docs: DataFrame, model: Model, target: float | None = None, least: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.llm import bitsliced, hnsw, mixing, neardup, pieces, quality, secrets, sharding, toxicity, warc
-from larkspur.llm.common import held_out, table
+from larkspur.llm.common import held_out, spread, table
 
 #: Where the SentencePiece model lies; the driver reads it.
 TOKENIZER = os.environ.get("LARKSPUR_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
@@ -18,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find(table(spark, sf_dir, "documents"))
+    return secrets.find(spread(table(spark, sf_dir, "documents")))
 
 
 def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,11 +27,11 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(words=2))
+    return neardup.near_duplicates(spread(table(spark, sf_dir, "documents")), neardup.Settings(words=2))
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(table(spark, sf_dir, "documents"), TOKENIZER)
+    return pieces.encode(spread(table(spark, sf_dir, "documents")), TOKENIZER)
 
 
 def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,19 +40,18 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    sized = mixing.mix(docs, drop=["text"])
-    return sized.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
+    rows = mixing.copies(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return rows.select(F.col("key").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return quality.grade(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 

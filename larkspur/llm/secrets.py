@@ -30,7 +30,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # a run of at least the least length is what
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 KINDS = ("assign", "access", "hex", "token", "openssh", "der")
 
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+#: Where a signed token may begin: an encoded "{", or the white space that JSON allows before it. Seen ahead, so that one may begin within another's place.
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?=((?:e[w-z0-9_-]|I[A-P]|C[Q-Za-v]|D[Q-Za-f])[A-Za-z0-9_-]*\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+))")
 #: What may part the lines of an encoded key: line ends as they are or escaped, with white space around them.
 WRAP = r"(?:[ \t]*+(?:\r\n?|\n|\\++r\\++n|\\++n))++[ \t]*+"
 WRAPS = re.compile(WRAP)
@@ -238,8 +239,10 @@ def scan(text: str | None) -> list[tuple[int, int, str]]:
     out = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LEAST]
     out += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LEAST]
     out += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    if "eyJ" in text:
-        out += [(m.start(), m.end(), "token") for m in TOKEN.finditer(text) if is_token(m[0])]
+    last = 0
+    for m in TOKEN.finditer(text):
+        if m.start() >= last and is_token(m[1]):
+            out.append((m.start(), last := m.end(1), "token"))
     out += _keys(text, START, _base64, _base64_end)
     out += _keys(text, START_HEX, _hex, _hex_end)
     return sorted(set(out), key=lambda x: (x[0], KINDS.index(x[2]), x[1]))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from larkspur.llm.common import held_out, lean, share_of, small, with_field, words
+from larkspur.llm.common import held_out, lean, materialise, scratch, share_of, small, thinned, with_field, words
 
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_/\\"
 
@@ -75,6 +75,21 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
+def risk(gp: np.ndarray, gu: np.ndarray, prior: float, beta: float = 0.0) -> tuple[float, np.ndarray, np.ndarray]:
+    """The non-negative risk at the scores of positives and of unlabelled rows, and the direction of its descent in either.
+
+    Where the part that stands for negatives is below -beta, the direction climbs back out of that part instead.
+    """
+    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    np_, nu = max(len(gp), 1), max(len(gu), 1)
+    negative = np.logaddexp(0, gu).sum() / nu - prior * np.logaddexp(0, gp).sum() / np_
+    positive = prior * np.logaddexp(0, -gp).sum() / np_
+    dp_plus, dp_minus, du_minus = -prior * sig(-gp) / np_, -prior * sig(gp) / np_, sig(gu) / nu
+    if negative >= -beta:
+        return positive + max(negative, 0.0), dp_plus + dp_minus, du_minus
+    return positive, -dp_minus, -du_minus
+
+
 def nnpu(p_rows: list[np.ndarray], u_rows: list[np.ndarray], n_features: int, prior: float, steps: int = 600, rate: float = 0.1, sparsity: float = 3e-5, beta: float = 0.0) -> tuple[np.ndarray, float]:
     """Weights and bias by Adam on the whole sample, weights shrunk toward 0 at each step so that few features tell; rows are arrays of feature numbers."""
 
@@ -84,18 +99,12 @@ def nnpu(p_rows: list[np.ndarray], u_rows: list[np.ndarray], n_features: int, pr
     (pi, pj, np_), (ui, uj, nu) = sparse(p_rows), sparse(u_rows)
     w, b = np.zeros(n_features), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(n_features + 1), np.zeros(n_features + 1)
-    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     for t in range(1, steps + 1):
         gp = b + np.bincount(pi, w[pj], minlength=np_)[:np_]
         gu = b + np.bincount(ui, w[uj], minlength=nu)[:nu]
-        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        dp_plus, dp_minus, du_minus = -prior * sig(-gp) / np_, -prior * sig(gp) / np_, sig(gu) / nu
-        if negative >= -beta:
-            dp, du = dp_plus + dp_minus, du_minus
-        else:  # the non-negative correction: climb back
-            dp, du = -dp_minus, -du_minus
+        _, dp, du = risk(gp[: len(p_rows)], gu[: len(u_rows)], prior, beta)
         grad = np.zeros(n_features + 1)
-        grad[:-1] = np.bincount(pj, dp[pi], minlength=n_features) + np.bincount(uj, du[ui], minlength=n_features)
+        grad[:-1] = np.bincount(pj, dp[pi] if len(pi) else None, minlength=n_features) + np.bincount(uj, du[ui] if len(ui) else None, minlength=n_features)
         grad[-1] = dp.sum() + du.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
@@ -105,74 +114,53 @@ def nnpu(p_rows: list[np.ndarray], u_rows: list[np.ndarray], n_features: int, pr
     return w, float(b)
 
 
-def _rows(n: Counter[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"f": pa.array(list(n.keys()), pa.string()), "n": pa.array(list(n.values()), pa.int64())})
-
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", positives: int = 4000, unlabelled: int = 12000, text_bytes: int = 64 << 20, least: int = 4, lift: float = 3.0, chance: float = 0.05) -> Model:
+    """A model from about `positives` confirmed toxic rows and about `unlabelled` others at most, and of either no more than come to about text_bytes of text, chosen by a hash of the key.
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", positives: int = 4000, unlabelled: int = 12000, vocabulary: int = 50_000, least: int = 4, lift: float = 3.0, chance: float = 0.05) -> Model:
-    """A model from about `positives` confirmed toxic rows and about `unlabelled` others at most, chosen by a hash of the key.
-
-    Only rows outside the held-out fold are looked at. A key with several labels is toxic if one of them says so. Features
-    are those of at least `least` positives that are `lift` times as frequent among them as in unlabelled text, and more
-    frequent than would come about for any of the candidates with that chance. Without any positive, no text is toxic.
+    Only rows outside the held-out fold are looked at. A key with several labels is toxic if one of them says so; near copies
+    count once. Features are all those of at least `least` positives that are `lift` times as frequent among them as in
+    unlabelled text, and more frequent than would come about for any of the candidates with that chance. They are counted and
+    chosen by the executors: what the driver gets are the features chosen and, for each row of the sample, which of them it has.
+    Null texts count as empty ones. Without any positive, no text is toxic.
     """
     known = labels.where(~held_out(F.col(key)) & F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max(F.col(label)).alias("y"))
     n_known, n_toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("y") == 1).cast("long")), F.lit(0))).first()
     if not n_toxic:
         return Model({}, -6.0, 0.0)
     prior = float(np.clip(n_toxic / n_known, 0.001, 0.9))
-    toxic = known.where((F.col("y") == 1) & share_of(F.col("k"), positives / n_toxic, 3)).select("k", F.lit(1).alias("p"))
+    toxic = known.where((F.col("y") == 1) & share_of(F.col("k"), positives / n_toxic, 3)).select("k")
     pool = lean(docs).where(~held_out(F.col(key))).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    part = unlabelled / max(pool.count(), 1)
-    toxic = small(toxic, positives)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n: Counter[str] = Counter()
-        for x in (x for batch in batches for x in batch.column(0)):
-            n.update(features(x.as_py()))
-            if len(n) > 50_000:
-                yield _rows(n)
-                n = Counter()
-        yield _rows(n)
-
-    often = pool.join(toxic, F.col("key") == F.col("k")).select("text").mapInArrow(counted, "f string, n long").groupBy("f").agg(F.sum("n").alias("n"))
-    names = [r.f for r in often.where(F.col("n") >= least).orderBy(F.desc("n"), "f").limit(vocabulary).collect()]
-    number = {f: i for i, f in enumerate(names)}
-
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows, size = pool.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    part = min(unlabelled / max(rows, 1), text_bytes / max(size, 1))
+    confirmed = pool.join(small(toxic, positives), F.col("key") == F.col("k"), "left_semi")
+    kept = thinned(confirmed, "key", "text", text_bytes, 7).select(F.lit(True).alias("p"), "text")
+    sample = kept.unionByName(pool.where(share_of(F.col("key"), part, 5)).select(F.lit(False).alias("p"), "text"))
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kinds, codes = [], []
-            for x in batch.column(0):
-                found = features(x.as_py())
-                kinds.append(_kind(found))
-                codes.append(np.array(sorted(number[f] for f in found if f in number), np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), pa.array(kinds, pa.int64()), pa.array(codes, pa.binary())], ["p", "u", "kind", "codes"])
-
-    sample = pool.join(toxic, F.col("key") == F.col("k"), "left").select("text", F.coalesce("p", F.lit(0)).alias("p"), share_of(F.col("key"), part, 5).cast("int").alias("u")).where("p = 1 or u = 1")
-    p_rows: dict[int, np.ndarray] = {}
-    u_rows: dict[int, np.ndarray] = {}
-    for r in sample.mapInArrow(coded, "p int, u int, kind long, codes binary").orderBy("kind", "codes").toLocalIterator():
-        codes = np.frombuffer(r.codes, np.int32)
-        if r.p:
-            p_rows.setdefault(r.kind, codes)
-        if r.u:
-            u_rows.setdefault(r.kind, codes)
-    return fit(names, list(p_rows.values()), list(u_rows.values()), prior, least, lift, chance)
-
-
-def fit(names: list[str], p_rows: list[np.ndarray], u_rows: list[np.ndarray], prior: float, least: int = 4, lift: float = 3.0, chance: float = 0.05) -> Model:
-    count = lambda rows: np.bincount(np.concatenate([np.zeros(0, np.int64), *rows]).astype(np.int64), minlength=len(names))
-    in_p, in_u, n_p, n_u = count(p_rows), count(u_rows), max(len(p_rows), 1), max(len(u_rows), 1)
-    expected = n_p * (in_u + 1) / n_u
-    with np.errstate(divide="ignore", invalid="ignore"):  # Chernoff's bound on a Poisson tail
-        surprise = np.where(in_p > expected, in_p * np.log(in_p / expected) - (in_p - expected), 0)
-    telling = (in_p >= least) & (in_p >= lift * expected) & (surprise >= np.log(max(len(names), 1) / chance))
-    at = np.flatnonzero(telling)
-    to = np.full(len(names), -1)
-    to[at] = np.arange(len(at))
-    kept = lambda rows: [c[c >= 0] for c in (to[r] for r in rows)]
-    w, b = nnpu(kept(p_rows), kept(u_rows), len(at), prior)
-    return Model({names[i]: float(x) for i, x in zip(at, w, strict=True) if x}, b, prior)
+            sets = [features(x.as_py()) for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_kind(x) for x in sets], pa.int64()), pa.array([sorted(x) for x in sets], pa.list_(pa.string()))], ["p", "kind", "found"])
+
+    with scratch(docs.sparkSession):
+        rows = sample.mapInArrow(found, "p boolean, kind long, found array<string>")
+        rows = materialise(rows.groupBy("p", "kind").agg(F.min_by("found", F.struct(F.size("found"), F.xxhash64("found"))).alias("found")))
+        n_p, n_u = (max(x, 1) for x in rows.agg(F.count_if("p"), F.count_if(~F.col("p"))).first())
+        often = materialise(rows.select("p", F.explode("found").alias("f")).groupBy("f").agg(F.count_if("p").alias("in_p"), F.count_if(~F.col("p")).alias("in_u")).where(F.col("in_p") >= least))
+        expected = F.lit(n_p) * (F.col("in_u") + 1) / F.lit(n_u)
+        surprise = F.col("in_p") * F.log(F.col("in_p") / expected) - (F.col("in_p") - expected)  # Chernoff's bound on a Poisson tail
+        telling = (F.col("in_p") >= lift * expected) & (F.col("in_p") > expected) & (surprise >= float(np.log(max(often.count(), 1) / chance)))
+        names = [r.f for r in often.where(telling).orderBy("f").collect()]
+        number = {f: i for i, f in enumerate(names)}
+
+        def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                codes = [np.array(sorted(number[f] for f in x.as_py() if f in number), np.int32).tobytes() for x in batch.column(1)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes, pa.binary())], ["p", "codes"])
+
+        got = sorted((not r.p, bytes(r.codes)) for r in rows.select("p", "found").mapInArrow(coded, "p boolean, codes binary").collect())
+    p_rows, u_rows = ([np.frombuffer(codes, np.int32) for other, codes in got if other == x] for x in (False, True))
+    w, b = nnpu(p_rows, u_rows, len(names), prior)
+    return Model({f: float(x) for f, x in zip(names, w, strict=True) if x}, b, prior)
 
 
 def score(docs: DataFrame, model: Model, column: str = "score", text: str = "text") -> DataFrame:

@@ -1,10 +1,10 @@
-"""WARC archives as seekable Zstandard bundles, written, indexed and read back as tables.
+"""WARC archives as seekable Zstandard bundles: files in the shared folder, with an index written along with them.
 
 A bundle is one archive: independent Zstandard frames, each of whole WARC records, and behind them a skippable
 frame with the seek table (the public seekable format: compressed and decompressed size of each frame, then
 the number of frames, a descriptor byte and the magic number). A record is found by archive, frame and its
-offset in the decompressed frame, so a lookup decompresses one frame. Bundles are rows of a table, which any
-store that Spark writes can hold and which survives lost executors; export() puts them into a mounted folder.
+offset in the decompressed frame, so a lookup decompresses one frame. Spark's own writers put the files down, on
+any store, and its commit keeps what lost executors left half done from being seen.
 """
 
 from __future__ import annotations
@@ -12,20 +12,21 @@ from __future__ import annotations
 import hashlib
 import os
 import struct
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import lean, materialise, sifted
+from larkspur.llm.common import lean, materialise, scratch, shared_folder, sifted
 
 #: Fixed values of the seekable format and of WARC.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-BUNDLES = "archive string, content binary, first_raw long, n_frames int"
+BUNDLES = "archive string, content binary, entries array<struct<page_id: long, frame: int, offset: long, length: long>>"
 RECORDS = "page_id long, archive string, frame int, offset long, length long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -37,9 +38,11 @@ class Bundle:
         self.frames: list[tuple[int, int]] = []
         self.parts: list[bytes] = []
         self.open: list[bytes] = []
+        self.entries: list[dict[str, int | None]] = []
         self.open_bytes = self.raw = 0
 
-    def add(self, record: bytes) -> None:
+    def add(self, page_id: int | None, record: bytes) -> None:
+        self.entries.append({"page_id": page_id, "frame": len(self.frames), "offset": self.open_bytes, "length": len(record)})
         self.open.append(record)
         self.open_bytes += len(record)
         self.raw += len(record)
@@ -123,7 +126,7 @@ def first_seen(pages: DataFrame, least: int = 100) -> DataFrame:
     return own.where("not maybe").drop("maybe").withColumn("refers_to", F.lit(None).cast("long")).unionByName(found)
 
 
-def write(pages: DataFrame, least: int = 100, frame_bytes: int = 1 << 18, bundle_bytes: int = 1 << 22, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
+def bundles(pages: DataFrame, least: int = 100, frame_bytes: int = 1 << 18, bundle_bytes: int = 1 << 22, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Archives of one record per row of pages (page_id, url, html), as rows of BUNDLES, kept in the shared folder.
 
     Of records with equal payloads of at least `least` bytes the one with the smallest page_id holds it, the others
@@ -136,14 +139,15 @@ def write(pages: DataFrame, least: int = 100, frame_bytes: int = 1 << 18, bundle
         from pyspark import TaskContext
 
         part, n, bundle = TaskContext.get().partitionId(), 0, Bundle(frame_bytes)
+        kind = pa.list_(pa.struct([("page_id", pa.int64()), ("frame", pa.int32()), ("offset", pa.int64()), ("length", pa.int64())]))
 
         def done() -> pa.RecordBatch:
             content = bundle.close()
-            return pa.RecordBatch.from_pydict({"archive": [f"part-{part:06d}-{n:04d}.warc.zst"], "content": pa.array([content], pa.binary()), "first_raw": pa.array([bundle.raw], pa.int64()), "n_frames": pa.array([len(bundle.frames)], pa.int32())})
+            return pa.RecordBatch.from_arrays([pa.array([f"part-{part:06d}-{n:04d}.warc.zst"]), pa.array([content], pa.binary()), pa.array([bundle.entries], kind)], ["archive", "content", "entries"])
 
         for batch in batches:
             for page_id, url, payload, digest, refers_to in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                bundle.add(record(page_id, url, payload, digest, refers_to, date))
+                bundle.add(page_id, record(page_id, url, payload, digest, refers_to, date))
                 if bundle.raw >= bundle_bytes:
                     yield done()
                     n, bundle = n + 1, Bundle(frame_bytes)
@@ -153,6 +157,41 @@ def write(pages: DataFrame, least: int = 100, frame_bytes: int = 1 << 18, bundle
     return materialise(first_seen(pages, least).mapInArrow(bundled, BUNDLES))
 
 
+#: The last byte of every archive, that of SEEKABLE.
+_LAST = chr(SEEKABLE >> 24)
+
+
+def store(pages: DataFrame, folder: str, **how: int | str) -> None:
+    """Write the archives of bundles() as files <folder>/archives/archive=<name>/*, and their index as Parquet, <folder>/index.
+
+    Spark's text writer puts bytes down as they are and ends each row with a separator, for which an archive's last byte is taken.
+    """
+    with scratch(pages.sparkSession):
+        made = bundles(pages, **how)
+        body = F.substring("content", F.lit(1), F.octet_length("content") - 1).cast("string")
+        made.select("archive", body.alias("value")).write.partitionBy("archive").option("lineSep", _LAST).option("encoding", "ISO-8859-1").text(f"{folder}/archives")
+        made.select("archive", F.explode("entries").alias("e")).select("e.page_id", "archive", "e.frame", "e.offset", "e.length").write.parquet(f"{folder}/index")
+
+
+def archives(spark: SparkSession, folder: str) -> DataFrame:
+    """(archive, content) of the files that store() wrote."""
+    files = spark.read.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    # Files that begin with "." or "_" are no archives; where there is none, there is no folder of one either.
+    return files.option("recursiveFileLookup", "true").load(f"{folder}/archives").select(F.regexp_extract("path", "/archive=([^/]*)/", 1).alias("archive"), "content").where("archive <> ''")
+
+
+def offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """(page_id, archive, frame, offset, length) of every record, from the index that store() wrote."""
+    return spark.read.parquet(f"{folder}/index")
+
+
+def write(pages: DataFrame, **how: int | str) -> DataFrame:
+    """store() in a new folder of the shared one, and the archives() in it. The folder stays, since they are read later."""
+    spark = pages.sparkSession
+    store(pages, folder := f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}", **how)
+    return archives(spark, folder)
+
+
 def read(archives: DataFrame) -> DataFrame:
     """Every record of the archives, as RECORDS: where it lies, and what it says. Responses' digests are checked."""
 
@@ -177,16 +216,20 @@ def read(archives: DataFrame) -> DataFrame:
 
 
 def lookup(archives: DataFrame, found: DataFrame) -> DataFrame:
-    """page_id, payload of the records at (archive, frame, offset) of `found`; each decompresses one frame."""
+    """page_id, payload of the records at (archive, frame, offset) of `found`. An archive's records are asked for together, each of their frames decompressed once."""
 
     def payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content, page_id, i, offset in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                payload = parse(frame(content, seek_table(content)[i]), offset)[1]
-                yield pa.RecordBatch.from_pydict({"page_id": pa.array([page_id], pa.int64()), "payload": pa.array([payload], pa.binary())})
-
-    joined = archives.join(found.select("archive", "page_id", "frame", "offset"), "archive")
-    return joined.select("content", "page_id", "frame", "offset").mapInArrow(payloads, "page_id long, payload binary")
+            for content, asked in zip(*batch.columns, strict=True):
+                content, at, raw = content.as_py(), None, b""
+                table = seek_table(content)
+                for x in sorted(asked.as_py(), key=lambda x: (x["frame"], x["offset"])):
+                    if x["frame"] != at:
+                        at, raw = x["frame"], frame(content, table[x["frame"]])
+                    yield pa.RecordBatch.from_pydict({"page_id": pa.array([x["page_id"]], pa.int64()), "payload": pa.array([parse(raw, x["offset"])[1]], pa.binary())})
+
+    asked = found.groupBy("archive").agg(F.collect_list(F.struct("page_id", "frame", "offset")).alias("asked"))
+    return lean(archives).select("archive", "content").join(asked, "archive").select("content", "asked").mapInArrow(payloads, "page_id long, payload binary")
 
 
 def export(archives: DataFrame, folder: str) -> DataFrame:

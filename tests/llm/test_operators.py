@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pytest
 import sentencepiece
+import zstandard
 from pyspark.sql import functions as F
 
 from larkspur.llm import bitsliced, components, hnsw, mixing, neardup, pieces, quality, queries, secrets, sharding, toxicity, warc
@@ -86,6 +87,28 @@ def test_secret_kinds():
     assert token() not in secrets.redact(f"a {token()} b") and secrets.redact(None) is None and secrets.redact("clean") == "clean"
 
 
+def test_tokens_wherever_they_begin():
+    enc = lambda x: base64.urlsafe_b64encode(x).rstrip(b"=").decode()
+    for head in (b'{"alg":"RS256"}', b'{ "alg": "RS256"}', b'{\n "alg": "RS256"}', b' {"alg":"RS256"}', b'\t{"typ":"x","alg":"RS256"}', b'\n{"alg":"RS256"}', b'\r\n{"alg":"RS256"}', b'{\t"alg":"RS256"}'):
+        t = ".".join([enc(head), enc(b'{ "sub": 1}'), enc(b"s" * 32)])
+        for before in ("", "x.", "host.name.", "a b ", "é", f"{enc(head)}.", '"'):
+            (span,) = [x for x in secrets.scan(f"{before}{t} and more.") if x[2] == "token"]
+            assert span == (len(before), len(before) + len(t), "token")
+        assert t not in secrets.redact(f"x.{t}")
+        assert not [x for x in secrets.scan(f"z{t}") if x[2] == "token"]
+
+
+def test_scan_is_linear():
+    import time
+
+    rng = random.Random(3)
+    data = rng.randbytes(3 << 20)
+    for text in (wrapped(data), base64.b64encode(data).decode(), data.hex(), "MIIE" * (1 << 20), "b3Blbn" * (1 << 19), "eyJ." * (1 << 20), "M" * (4 << 20)):
+        start = time.process_time()
+        secrets.scan(text)
+        assert time.process_time() - start < 20
+
+
 def spans_of(text):
     return [x for x in secrets.scan(text) if x[2] in ("der", "openssh")]
 
@@ -216,6 +239,56 @@ def test_hnsw(spark, shard):
     assert hnsw.search(hnsw.build(v.limit(0), shard), v.limit(0), 20).count() == 0
 
 
+def test_more_neighbours_than_width(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(i), [float(x) for x in rng.normal(size=16)], 0) for i in range(1000)]
+    v = hnsw.vectors(spark.createDataFrame(rows, VECTORS))
+    for shard, k in ((1 << 13, 200), (300, 200), (1 << 13, 2000)):
+        got = ranked(hnsw.search(hnsw.build(v, shard), v.where(F.col("id") % 250 == 0), k, width=32).collect())
+        assert set(got) == {0, 250, 500, 750} and all(len(x) == min(k, 999) for x in got.values())
+    want = brute(rows, 250, 2000, any, lambda a, b: float(np.dot(np.float32(a).astype(float), np.float32(b).astype(float))))
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+    far = [(int(i), [float(x) for x in (rng.normal(size=4) * 1e-3 + 100 * (i % 3 - 1))], 0) for i in range(90)]  # parts that no link may join
+    v = hnsw.vectors(spark.createDataFrame(far, VECTORS))
+    got = ranked(hnsw.search(hnsw.build(v, m=2, width=4), v, 89, width=4).collect())
+    assert all(len(x) == 89 for x in got.values())
+
+
+def test_queries_of_one_id(spark):
+    rows = [(20, [1.0, 0.0], 0), (20, [0.0, 1.0], 0), (1, [5.0, 1.0], 0), (2, [1.0, 5.0], 0), (100, [2.0, 2.0], 0), (100, [2.0, 2.0], 0)]
+    both = {(20, ((1, 5.0), (100, 2.0), (100, 2.0), (2, 1.0))), (20, ((2, 5.0), (100, 2.0), (100, 2.0), (1, 1.0)))}
+    df = spark.createDataFrame(rows, VECTORS)
+    for scale, found in ((1, hnsw.search(hnsw.build(v := hnsw.vectors(df)), v.where("id = 20"), 9)), (65536, bitsliced.search(bitsliced.build(v := bitsliced.quantised(df)), v.where("id = 20"), 9))):
+        got = [(r.query_id, r["rank"], r.vec_id, r.score / scale) for r in found.collect()]
+        one = {(q, tuple((i, s) for i, s in x)) for q, x in both}
+        for q, x in one:
+            assert all((q, n + 1, i, s) in got for n, (i, s) in enumerate(x))
+        assert len(got) == 8
+
+
+def test_blocks_stay_where_they_are(spark):
+    """However many tasks and lots there are, answers are the same."""
+    rng = np.random.default_rng(9)
+    rows = [(int(i), [float(x) for x in rng.normal(size=6)], 0) for i in range(500)] + [(1000 + i, [float(x) for x in rng.normal(size=3)], 0) for i in range(0, 60, 5)]
+    v = bitsliced.quantised(spark.createDataFrame(rows, VECTORS))
+    index, asked = bitsliced.build(v, 30), v.where(F.col("id") % 5 == 0)
+    got = [sorted(bitsliced.search(index, asked, 5, chunk, held, tasks).collect()) for chunk, held, tasks in ((7, 1, 1), (7, 16, 1), (200, 3, 40), (3, 16, 500))]
+    assert got[0] == got[1] == got[2] == got[3] and len(got[0]) == 5 * 112
+
+
+@pytest.mark.parametrize("lengths", [0.0, 1.0])
+def test_hnsw_recall_on_hard_vectors(lengths):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4096, 64)) * np.exp(lengths * rng.normal(size=(4096, 1)))
+    g = hnsw.Graph.build(x / np.abs(x).max())
+    asked = np.arange(0, 4096, 20)
+    s = x[asked] @ x.T
+    s[np.arange(len(asked)), asked] = -np.inf
+    want = np.argsort(-s, axis=1)[:, :20]
+    got = g.search(x[asked], 224)
+    assert sum(len(set(want[i]) & set(g.order[a[a >= 0]])) for i, a in enumerate(got)) / want.size >= 0.94
+
+
 def test_hnsw_recall_on_the_table(spark):
     rows = table(spark, "/root/testdata/sf0.1", "embeddings").collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
@@ -345,9 +418,9 @@ def test_queries_verify_every_text(spark, tmp_path, monkeypatch):
 
         from larkspur.llm.pieces import _loaded
 
-        model, tokenizer, joiner = _loaded(data, threads)
+        model, tokenizer = _loaded(data, threads)
         wrong = lambda batch, add_special_tokens: [SimpleNamespace(ids=[*e.ids, 0]) for e in tokenizer.encode_batch_fast(batch, add_special_tokens=add_special_tokens)]
-        return model, SimpleNamespace(encode_batch_fast=wrong), joiner
+        return model, SimpleNamespace(encode_batch_fast=wrong)
 
     unchecked = spark.range(64).where(~share_of(F.col("id"), 0.125, 17)).first().id  # not in the eighth that was once verified
     docs(spark, [(unchecked, "a text")]).write.parquet(f"{tmp_path}/documents.parquet")
@@ -377,6 +450,28 @@ def test_unigram_model():
         assert ours.encode(text, add_special_tokens=False).ids == other.encode(text), text
 
 
+def test_model_with_a_character_map():
+    import struct
+
+    rules = sentencepiece.SentencePieceNormalizer(rule_name="nfkc_cf").serialized_model_proto()
+    charsmap = dict(pieces._fields(dict(pieces._fields(rules))[3]))[2]
+    names = [("<unk>", 0.0, 2), ("▁", -3.0, 1), ("▁ab", -1.0, 1), ("a", -4.0, 1), ("b", -4.0, 1), ("c", -4.0, 1), ("ss", -4.0, 1), *[(f"<0x{i:02X}>", 0.0, 6) for i in range(256)]]
+    data = b"".join(bytes([1 << 3 | 2, len(body)]) + body for body in (field(1, p.encode()) + bytes([2 << 3 | 5]) + struct.pack("<f", s) + field(3, kind) for p, s, kind in names))
+
+    def varint(n):
+        return bytes([n]) if n < 128 else bytes([n & 127 | 128]) + varint(n >> 7)
+
+    trainer = field(3, 1) + varint(35 << 3) + b"\x01"
+    spec = bytes([2 << 3 | 2]) + varint(len(charsmap)) + charsmap + field(3, 1) + field(4, 1) + field(5, 1)
+    data += bytes([2 << 3 | 2]) + varint(len(trainer)) + trainer + bytes([3 << 3 | 2]) + varint(len(spec)) + spec
+    model = pieces.Model.parse(data)
+    ours, other = model.tokenizer(), sentencepiece.SentencePieceProcessor(model_proto=data)
+    for text in ("AB c", "ＡＢ  ｃ", "ß ab", "①", " a ", "", "日本 ab"):
+        ids = ours.encode(text, add_special_tokens=False).ids
+        assert ids == other.encode(text), text
+        assert ours.decode(ids, skip_special_tokens=False) == model.plain(text, ours) == other.decode(ids)
+
+
 # 6: mixing
 
 
@@ -469,6 +564,49 @@ def test_toxicity(spark):
     assert toxicity.train(docs(spark, []), labels).weights == {}
 
 
+def test_risk():
+    """Both branches of the estimator against its definition, and the directions against differences."""
+    rng = np.random.default_rng(3)
+    log = lambda z: np.log1p(np.exp(z))
+    for prior, lift in ((0.1, 0.0), (0.6, 5.0), (0.3, -2.0)):
+        gp, gu = rng.normal(size=7) + lift, rng.normal(size=11) - lift
+        plus, minus = prior * log(-gp).mean(), log(gu).mean() - prior * log(gp).mean()
+        got, dp, du = toxicity.risk(gp, gu, prior)
+        assert abs(got - (plus + max(minus, 0))) < 1e-12 and (minus < 0) == (lift > 0)
+        objective = (lambda p, u: prior * log(-p).mean() + log(u).mean() - prior * log(p).mean()) if minus >= 0 else lambda p, u: prior * log(p).mean() - log(u).mean()  # noqa: B023
+        e = 1e-6
+        for i, x in enumerate(np.eye(len(gp))):
+            assert abs((objective(gp + e * x, gu) - objective(gp - e * x, gu)) / (2 * e) - dp[i]) < 1e-7
+        for i, x in enumerate(np.eye(len(gu))):
+            assert abs((objective(gp, gu + e * x) - objective(gp, gu - e * x)) / (2 * e) - du[i]) < 1e-7
+
+
+def test_nnpu_lowers_the_risk():
+    rng = np.random.default_rng(4)
+    p_rows = [np.array(sorted({0, int(rng.integers(1, 6))})) for _ in range(60)]
+    u_rows = [np.array(sorted({int(rng.integers(1, 6))} | ({0} if rng.random() < 0.2 else set()))) for _ in range(300)]
+    w, b = toxicity.nnpu(p_rows, u_rows, 6, 0.2)
+    at = lambda w, b: toxicity.risk(*(np.array([b + w[r].sum() for r in rows]) for rows in (p_rows, u_rows)), 0.2)[0]
+    start = np.log(0.2 / 0.8)
+    assert at(w, b) < 0.5 * at(np.zeros(6), start) and w[0] > 2 > abs(w[1:]).max()
+    plain, least = min(((at(np.array([x, 0, 0, 0, 0, 0]), y), (x, y)) for x in np.arange(0, 16, 0.5) for y in np.arange(-10, 2, 0.5)))  # a grid over the one feature that tells
+    assert at(w, b) < plain + 0.05, least
+    assert toxicity.nnpu([], u_rows, 6, 0.2)[1] < 0 and len(toxicity.nnpu([], [], 0, 0.5)[0]) == 0
+
+
+def test_training_is_bounded(spark):
+    rows, labels = labelled(spark)
+    d = docs(spark, [*rows, (10**7, "long " * 300_000)])
+    from larkspur.llm.common import thinned
+
+    kept = thinned(d, "doc_id", "text", 50_000, 7)
+    assert 10_000 < kept.where("doc_id < 10000000").agg(F.sum(F.octet_length("text"))).first()[0] or kept.count() < 60
+    assert thinned(d, "doc_id", "text", 10**9, 7).count() == d.count()
+    few = toxicity.train(docs(spark, rows), labels, text_bytes=100_000)
+    assert any(f.startswith(("vile", "rotten", "fool")) for f in few.weights)
+    assert len(quality.train(d, labels, text_bytes=100_000).grades) == 3
+
+
 def test_toxicity_on_the_table(spark):
     got = queries.op7_toxicity(spark, "/root/testdata/sf0.1").collect()
     truth = {r.doc_id: r.toxic for r in table(spark, "/root/testdata/sf0.1", "labels").collect()}
@@ -492,6 +630,27 @@ def test_quality(spark):
     assert {r.expected_grade for r in quality.grade(d, one).collect()} == {4.0}
 
 
+def test_likelihood():
+    """Mean -log P(grade) against its definition, and the gradient against differences."""
+    rng = np.random.default_rng(5)
+    z, level, t = rng.normal(size=20), rng.integers(0, 4, 20), np.array([-1.0, 0.2, 1.5])
+    got, dz, dt = quality.likelihood(z, level, t)
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    edges = np.array([-np.inf, *t, np.inf])
+    plain = lambda z, t: -np.mean([np.log(sig(e[x + 1] - y) - sig(e[x] - y)) for e in [np.array([-np.inf, *t, np.inf])] for x, y in zip(level, z, strict=True)])
+    assert abs(got - plain(z, t)) < 1e-12 and len(edges) == 5
+    e = 1e-6
+    assert all(abs((plain(z + e * x, t) - plain(z - e * x, t)) / (2 * e) - dz[i]) < 1e-7 for i, x in enumerate(np.eye(20)))
+    assert all(abs((plain(z, t + e * x) - plain(z, t - e * x)) / (2 * e) - dt[i]) < 1e-7 for i, x in enumerate(np.eye(3)))
+    # What is fitted beats other thresholds and a weight that is no use.
+    rows = [(np.array([int(x)], np.int32), np.ones(1, np.float32)) for x in rng.integers(0, 3, 600)]
+    y = np.array([float(r[0][0] if rng.random() < 0.9 else rng.integers(0, 3)) for r in rows])
+    model = quality.fit(rows, y)
+    z = np.array([model.weights[r[0]].sum() for r in rows], float)
+    best = quality.likelihood(z, y.astype(int), model.thresholds)[0]
+    assert best < 0.55 and best < quality.likelihood(0 * z, y.astype(int), model.thresholds)[0] and all(best < quality.likelihood(z, y.astype(int), model.thresholds + s)[0] + 1e-3 for s in (-1, -0.3, 0.3, 1))
+
+
 # 9: WARC
 
 
@@ -517,10 +676,16 @@ def test_warc(spark, tmp_path):
     back = {r.page_id: bytes(r.payload).decode() for r in warc.lookup(archives, held).collect()}
     text = {i: html or "" for i, _, html in rows[:200]}
     assert back and all(back[i] == text[i] for i in back if i in text)
+    warc.store(pages, f"{tmp_path}/s", frame_bytes=20_000, bundle_bytes=300_000)
+    indexed = warc.offsets(spark, f"{tmp_path}/s")  # the index written along says where each record lies
+    where = ["page_id", "archive", "frame", "offset", "length"]
+    assert sorted(map(repr, indexed.select(where).collect())) == sorted(map(repr, warc.read(warc.archives(spark, f"{tmp_path}/s")).select(where).collect()))
+    back = {r.page_id: bytes(r.payload).decode() for r in warc.lookup(warc.archives(spark, f"{tmp_path}/s"), indexed.where("page_id % 3 = 0")).collect()}
+    assert {i for i in back} == {i for i, *_ in rows if i is not None and i % 3 == 0}
+    for path in (tmp_path / "s/archives").rglob("*.txt"):  # each file is a whole archive
+        assert zstandard.ZstdDecompressor().stream_reader(path.read_bytes(), read_across_frames=True).read().startswith(b"WARC/1.1\r\n") and warc.seek_table(path.read_bytes())
     said = warc.export(archives, f"{tmp_path}/w").collect()
     assert len(said) == archives.count() > 1
-    import zstandard
-
     for r in said:  # any reader of Zstandard can take a bundle as a whole
         data = (tmp_path / "w" / r.archive).read_bytes()
         whole = zstandard.ZstdDecompressor().stream_reader(data, read_across_frames=True).read()
