@@ -9,31 +9,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.llm import mixing, neardup, pieces, secrets, toxicity
-from larkspur.llm.common import free_name, shared_folder, table
+from larkspur.llm.common import free_name, remove, scratch, shared_folder, spread, table
 from larkspur.llm.queries import TOKENIZER
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learned from these documents and labels, gives less than an even chance of being toxic."""
+    """Documents that the classifier, learned from these documents and labels, gives less than an even chance of being toxic.
+
+    Null and empty texts score as no evidence does and stay; repeated rows stay or go together; no documents give none.
+    """
     score = free_name(docs, "score")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, score).where(F.col(score) < 0.5).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
+    """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more.
+
+    Null and empty texts are like no other and stay; of rows that repeat key and text one stays; no documents give none.
+    """
     return neardup.unique(docs, neardup.Settings())
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets masked in their texts and n_chars counted anew."""
+    """All documents, repeated ones too, with secrets masked in their texts and n_chars counted anew; null texts stay null."""
     return secrets.redacted(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it, not at all, once or twice."""
+    """Each document as often as the mix takes it, not at all, once or twice; null and empty texts, of no words, not at all. Null sources are one source, repeated rows are taken apart."""
     prefix = free_name(docs, "mix")
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix = f"_{prefix}"
@@ -42,7 +48,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids and round_trip of each row."""
+    """doc_id, n_tokens, ids and round_trip of each row, repeated ones too; null texts have no ids, like empty ones."""
     return pieces.encode(docs, TOKENIZER)
 
 
@@ -53,16 +59,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order, each one's rows kept as Parquet in the shared folder until the next one's are."""
-    docs, old = table(spark, sf_dir, "documents"), None
+    """The stages in order, each one's rows kept as Parquet in the shared folder until the next one's are there.
+
+    What a stage materialises on its way is removed with it. The folder that the last stage reads stays, since its rows are asked for later.
+    """
+    docs, old = spread(table(spark, sf_dir, "documents")), None
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs.write.parquet(path := f"{folder}/{k}")
-            docs = spark.read.parquet(path)
-            if old:
-                at = spark._jvm.org.apache.hadoop.fs.Path(old)
-                at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-            old = path
-    return docs
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{k}")
+        docs = spark.read.parquet(path)
+        if old:
+            remove(spark, old)
+        old = path
+    return STAGES[-1][1](spark, docs, sf_dir)
