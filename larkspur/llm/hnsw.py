@@ -28,8 +28,11 @@ def _nearest(d: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(d, axis=1, kind="stable")
 
 
-def beam(x: np.ndarray, norms: np.ndarray, links: np.ndarray, q: np.ndarray, entries: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Best-first searches of all queries side by side: (nodes, squared distances) of up to `width` each, nearest first, -1 and inf behind."""
+def beam(x: np.ndarray, norms: np.ndarray, links: np.ndarray, q: np.ndarray, entries: np.ndarray, width: int, at_once: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    """Best-first searches of all queries side by side: (nodes, squared distances) of up to `width` each, nearest first, -1 and inf behind.
+
+    Each step goes on from a query's nearest `at_once` open nodes, so that its list is kept in order once for all of them.
+    """
     n = len(q)
     qq = np.einsum("ij,ij->i", q, q)
     seen = np.zeros((n, len(x) + 1), bool)
@@ -43,29 +46,34 @@ def beam(x: np.ndarray, norms: np.ndarray, links: np.ndarray, q: np.ndarray, ent
     ds[:, : e.shape[1]] = np.where(e >= 0, qq[:, None] - 2 * np.einsum("ikj,ij->ik", x[e], q) + norms[e], np.inf)
     done[:, : e.shape[1]] = e < 0
     seen[at, e] = True
+    # Which column a node is new from, where several of a step's nodes link to it.
+    at_once = min(at_once, width)
+    first = np.zeros((n, len(x) + 1), np.int16)
+    columns = np.arange(at_once * links.shape[1], dtype=np.int16)
     live = np.arange(n)
-    while len(live):
-        d = np.where(done[live], np.inf, ds[live])
-        pick = d.argmin(axis=1)
-        more = np.isfinite(d[np.arange(len(live)), pick])
-        live, pick = live[more], pick[more]
+    while True:
+        live = live[~done[live].all(axis=1)]
         if not len(live):
             break
-        done[live, pick] = True
-        near = links[ids[live, pick]]
-        near = np.where(seen[live[:, None], near], -1, near)
+        d = np.where(done[live], np.inf, ds[live])
+        pick = np.argpartition(d, at_once - 1, axis=1)[:, :at_once] if at_once < width else np.tile(np.arange(width), (len(live), 1))
+        open_ = ~done[live[:, None], pick]
+        done[live[:, None], pick] = True
+        near = np.where(open_[:, :, None], links[np.take_along_axis(ids[live], pick, 1)], -1).reshape(len(live), -1)
+        first[live[:, None], near] = columns
+        near = np.where(seen[live[:, None], near] | (first[live[:, None], near] != columns), -1, near)
         seen[live[:, None], near] = True
-        some = (near >= 0).any(axis=1)
-        if not some.any():
+        most = int((near >= 0).sum(axis=1).max())
+        if not most:
             continue
-        rows, near = live[some], near[some]
-        new = qq[rows, None] - 2 * np.matmul(x[near], q[rows, :, None])[:, :, 0] + norms[near]
+        near = np.take_along_axis(near, np.argsort(near < 0, axis=1, kind="stable")[:, :most], 1)
+        new = qq[live, None] - 2 * np.matmul(x[near], q[live, :, None])[:, :, 0] + norms[near]
         new[near < 0] = np.inf
-        all_d = np.concatenate([ds[rows], new], axis=1)
+        all_d = np.concatenate([ds[live], new], axis=1)
         keep = np.argpartition(all_d, width - 1, axis=1)[:, :width]
-        ds[rows] = np.take_along_axis(all_d, keep, 1)
-        ids[rows] = np.take_along_axis(np.concatenate([ids[rows], near], axis=1), keep, 1)
-        done[rows] = np.take_along_axis(np.concatenate([done[rows], near < 0], axis=1), keep, 1)
+        ds[live] = np.take_along_axis(all_d, keep, 1)
+        ids[live] = np.take_along_axis(np.concatenate([ids[live], near], axis=1), keep, 1)
+        done[live] = np.take_along_axis(np.concatenate([done[live], near < 0], axis=1), keep, 1)
     order = np.argsort(ds, axis=1, kind="stable")
     ids, ds = np.take_along_axis(ids, order, 1), np.take_along_axis(ds, order, 1)
     return np.where(np.isfinite(ds), ids, -1), ds
@@ -100,7 +108,7 @@ class Graph:
         self.norms = np.einsum("ij,ij->i", self.x, self.x)
 
     @classmethod
-    def build(cls, vectors: np.ndarray, m: int = 16, width: int = 96, batch: int = 512, seed: int = 7) -> Graph:
+    def build(cls, vectors: np.ndarray, m: int = 24, width: int = 96, batch: int = 512, seed: int = 7) -> Graph:
         n = len(vectors)
         height = np.minimum(-np.log(1 - np.random.default_rng(seed).random(n)) / np.log(m), 8).astype(int)
         order = np.argsort(-height, kind="stable")
@@ -244,7 +252,7 @@ class Shard:
         return columns[0].astype(np.int64), columns[1], columns[2]
 
 
-def build(rows: DataFrame, shard_rows: int = 1 << 13, m: int = 16, width: int = 96) -> DataFrame:
+def build(rows: DataFrame, shard_rows: int = 1 << 13, m: int = 24, width: int = 96) -> DataFrame:
     """The index: a row of INDEX for each shard of about `shard_rows` rows of one dimension, kept in the shared folder."""
 
     def one(t: pa.Table) -> pa.Table:
@@ -266,7 +274,7 @@ def build(rows: DataFrame, shard_rows: int = 1 << 13, m: int = 16, width: int =
     return materialise(dealt(rows, shard_rows).groupBy("dim", "block").applyInArrow(one, INDEX))
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, width: int = 320, chunk: int = 256, held: int = 16, tasks: int | None = None) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int, width: int = 224, chunk: int = 256, held: int = 16, tasks: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: of the rows of other ids, the k of largest inner product that the graphs find; all of them, if fewer.
 
     queries: (id, v, dim) of usable vectors. Scores are taken anew in doubles from the original vectors; ties go to the
