@@ -106,7 +106,11 @@ class Model:
         if self.escape:
             steps.append(normalizers.Replace(" ", MARK))
         out.normalizer = normalizers.Sequence(steps)
-        if not any(MARK in p.lstrip(MARK) for p, _, t in self.pieces if t == NORMAL):
+        normal = [p for p, _, t in self.pieces if t == NORMAL]
+        if self.kind == BPE and not any("\n" in p for p in normal):
+            # No merge goes over a line's end, and whole lines cost less than their words one by one.
+            out.pre_tokenizer = pre_tokenizers.Split("\n", "isolated")
+        elif not any(MARK in p.lstrip(MARK) for p in normal):
             # No piece goes on behind a mark that follows other characters, so texts part there, and words can be cached.
             out.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
         out.add_tokens([AddedToken(p, normalized=False) for p, _, t in self.pieces if t == USER])

@@ -600,7 +600,7 @@ def test_training_is_bounded(spark):
     from larkspur.llm.common import thinned
 
     kept = thinned(d, "doc_id", "text", 50_000, 7)
-    assert 10_000 < kept.where("doc_id < 10000000").agg(F.sum(F.octet_length("text"))).first()[0] or kept.count() < 60
+    assert 0 < kept.count() < 60 and kept.join(d.select("doc_id"), "doc_id", "left_anti").isEmpty()
     assert thinned(d, "doc_id", "text", 10**9, 7).count() == d.count()
     few = toxicity.train(docs(spark, rows), labels, text_bytes=100_000)
     assert any(f.startswith(("vile", "rotten", "fool")) for f in few.weights)
