@@ -58,10 +58,14 @@ def ansi_sql(name: str) -> str:
     return VIEWS[name][1].replace("AS STRING", "AS VARCHAR")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The view over Parquet under sf_dir. Tables are read for it alone, so no session-wide names are needed."""
+def view(spark: SparkSession, sf_dir: str, name: str, opened: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The view over Parquet under sf_dir, without session-wide names. opened: tables that are open already, to which it adds its own, so that a query of several views lists and infers each once."""
     tables = (RECORDS_TABLE,) if name == "records" else VIEWS[name][0]
-    frames = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables}
+    opened = {} if opened is None else opened
+    for t in tables:
+        if t not in opened:
+            opened[t] = spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    frames = {t: opened[t] for t in tables}
     sql = spark_sql(name)
     for t in tables:
         sql = sql.replace(f"FROM {t}", f"FROM {{{t}}}")

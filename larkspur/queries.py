@@ -73,12 +73,14 @@ POSTS = f"SELECT uri_id, {', '.join(f"first({c} ORDER BY source, {c} DESC) FILTE
 _P = (*_SIGHTED, "posts")
 
 
-def _posts(spark: SparkSession, d: str) -> DataFrame:
-    return posts.build_posts(view(spark, d, "posts_from_records"), view(spark, d, "posts_from_targets"))
+def _posts(spark: SparkSession, d: str, opened: dict[str, DataFrame] | None = None) -> DataFrame:
+    opened = {} if opened is None else opened
+    return posts.build_posts(*(view(spark, d, t, opened) for t in _SIGHTED))
 
 
 def _graph(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return {t: view(spark, d, t) for t in ("actors", "follows", "blocks", "likes", "reposts")} | {"posts": _posts(spark, d)}
+    opened: dict[str, DataFrame] = {}
+    return {t: view(spark, d, t, opened) for t in ("actors", "follows", "blocks", "likes", "reposts")} | {"posts": _posts(spark, d, opened)}
 
 
 def _events(spark: SparkSession, d: str) -> DataFrame:
