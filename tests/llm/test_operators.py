@@ -398,6 +398,7 @@ def test_components(spark):
 def test_pieces(spark):
     rows = AWKWARD + [(100 + i, t) for i, t in enumerate(["▁a", "a▁ b", "<s> </s>", "<0x0A>", "\x00\x01", "é́", "　x ", "▁▁▁", "日本語🙂", "a  b   c", "�"])]
     rows += [(500 + r.doc_id, r.text) for r in table(spark, DIR, "documents").collect()]
+    rows += [(90000 + i, ["a copy\nof two lines", None, "", "another copy"][i % 4]) for i in range(40)]
     got = pieces.encode(docs(spark, rows), queries.TOKENIZER, verify=1.0).collect()
     other = sentencepiece.SentencePieceProcessor(model_file=queries.TOKENIZER)
     want = [(r[0], tuple(other.encode(r[1] or ""))) for r in rows]
@@ -425,6 +426,8 @@ def test_queries_verify_every_text(spark, tmp_path, monkeypatch):
     unchecked = spark.range(64).where(~share_of(F.col("id"), 0.125, 17)).first().id  # not in the eighth that was once verified
     docs(spark, [(unchecked, "a text")]).write.parquet(f"{tmp_path}/documents.parquet")
     monkeypatch.setattr(pieces, "_loaded", crooked)
+    with pytest.raises(Exception, match=f"{unchecked}: "):
+        pieces.encode(docs(spark, [(unchecked, "a text")] * 3), queries.TOKENIZER).collect()
     for run in (queries.op4_sentencepiece, lambda spark, folder: cp.encode(spark, table(spark, folder, "documents"), folder)):
         with pytest.raises(Exception, match="ids by sentencepiece"):
             run(spark, str(tmp_path)).collect()
