@@ -20,13 +20,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm.common import free_name, lean, materialise, sifted
 from larkspur.llm.components import components
 from larkspur.llm.shingles import MinHash, digest, sets
+from larkspur.operators.edges import parted_join
 
+#: Narrow rows of one join key that a task may have to take.
+HEAVY = 1 << 20
 #: Nodes xor'ed with these have other least members, which makes pivots of them.
 _MASKS = tuple(int(x) for x in np.random.default_rng(3).integers(0, 2**62, 6))
 
@@ -234,7 +237,24 @@ def _surviving(pairs: DataFrame, signatures: DataFrame, settings: Settings) -> D
             a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for i in (2, 3))
             yield batch.select([0, 1]).take(pa.array(alike(a, b, steps))) if batch.num_rows else batch.select([0, 1])
 
-    return pairs.join(named("b"), "b").join(named("a"), "a").select("a", "b", "sig_a", "sig_b").mapInArrow(compared, "a long, b long")
+    signed = parted_join(parted_join(pairs, named("b"), "b", ["a"], "inner", HEAVY), named("a"), "a", ["b"], "inner", HEAVY)
+    return signed.select("a", "b", "sig_a", "sig_b").mapInArrow(compared, "a long, b long")
+
+
+def _identity(key: Column, mark: Column) -> list[Column]:
+    """A row's key and text in three columns without nulls, to join and group by."""
+    return [F.coalesce(key, F.lit(0).cast("bigint")).alias("k"), key.isNull().alias("none"), mark.alias("m")]
+
+
+def _of_one_key(held: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the classes that texts of one key are in; None where no key has several."""
+    keyed = held.where("doc_id is not null").select("doc_id", "digest")
+    several = materialise(keyed.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("doc_id", "low"))
+    if several.isEmpty():
+        return None
+    several = materialise(parted_join(several, classes.select(F.col("digest").alias("low"), F.col("node").alias("b")), "low", ["doc_id"], "inner", HEAVY))
+    texts = materialise(parted_join(keyed.distinct(), several, "doc_id", ["digest"], "inner", HEAVY).where("digest <> low").select("digest", "b"))
+    return parted_join(texts, classes.select("digest", F.col("node").alias("a")), "digest", ["b"], "inner", HEAVY).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text", mark: str | None = None) -> DataFrame:  # noqa: B008
@@ -242,36 +262,41 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
 
     Words are runs of what is not ASCII white space, A-Z in lower case. A text with fewer words than a shingle has its whole
     sequence as one; null and empty texts have none and link with nothing. Rows with equal keys are one document with several
-    texts. Rows with a null key take part only by equal sets; their own component is null where there is no other key, and
-    such rows are kept. An empty table gives no rows. Other columns are ignored. mark: a further column of this name, the text's
-    xxhash64, by which unique() finds the row again.
+    texts. Rows with a null key are each a document: their texts link like others, their component_id is null where links reach
+    no key, and then the rows of one of their texts are kept. An empty table gives no rows. Other columns are ignored. mark: a
+    further column of this name, the text's xxhash64, by which unique() finds the row again.
     """
     rows = materialise(_signed(lean(docs).select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")), settings))
-    seen = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
-    classes = rows.join(seen.where("node is not null").withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("doc_id") == F.col("node"))).select("node", "digest", "n", "bands", "sig").dropDuplicates(["digest"])
-    classes = materialise(classes)
+    held = rows.where("digest is not null")
+    # Equal sets have equal signatures. own and mark name a row of the class: the least key's.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")).alias("first")
+    classes = held.groupBy("digest").agg(first, F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    classes = materialise(classes.select(F.monotonically_increasing_id().alias("node"), "digest", F.col("first.doc_id").alias("own"), F.col("first.mark").alias("mark"), "bands", "sig"))
 
     entries = classes.select("node", F.explode("bands").alias("grp"))
     buckets = entries.groupBy("grp").agg(F.count(F.lit(1)).alias("k"), F.min("node").alias("least"), F.min(F.col("node").bitwiseXOR(F.lit(_MASKS[0]))).bitwiseXOR(F.lit(_MASKS[0])).alias("other")).where("k > 1")
     met = materialise(entries.join(buckets, "grp").select("grp", "node", "k", "least", "other"))
     pairs = met.select("node", F.explode(F.array("least", "other")).alias("p")).where("node <> p").select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-    near = materialise(_surviving(pairs, classes, settings))
+    near = materialise(_surviving(materialise(pairs), classes, settings))
     clusters = components(near)
 
     labelled = met.where("k > 2").join(clusters.withColumnRenamed("node", "nd"), F.col("node") == F.col("nd"), "left").select("grp", "node", F.coalesce("component", "node").alias("label"))
     open_ = labelled.groupBy("grp").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("grp")
     open_rows = materialise(labelled.join(open_, "grp"))
     if not open_rows.isEmpty():
-        held = open_rows.join(classes.select("node", "sig", F.lit(0).alias("size")), "node")
-        more = within(materialise(held.select("grp", "node", "label", "size", "sig")), settings)
+        signed = open_rows.join(classes.select("node", "sig", F.lit(0).alias("size")), "node")
+        more = within(materialise(signed.select("grp", "node", "label", "size", "sig")), settings)
         near = near.unionByName(more)
         clusters = components(near)
 
-    # Full sets are made anew from the texts of clustered classes, each once.
-    clustered = clusters.join(classes.select("node", "digest", "sig"), "node").select(F.col("component").alias("grp"), F.col("node"), "digest", "sig")
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    texts = sifted(texts, F.col("doc_id"), clusters.select("node"), "maybe").where("maybe")  # so that few other texts are moved
-    clustered = clustered.join(texts, F.col("node") == F.col("doc_id")).select("text", "digest", "grp", "node", "sig")
+    # Full sets are made anew from one text of each clustered class.
+    clustered = clusters.join(classes, "node").select(F.col("component").alias("grp"), "node", "digest", "sig", *_identity(F.col("own"), F.col("mark")))
+    clustered = materialise(clustered)
+    texts = docs.select(*_identity(F.col(key).cast("long"), F.xxhash64(text)), F.col(text).alias("text"))
+    both = F.xxhash64("k", "none", "m")
+    texts = sifted(texts, both, clustered.select(both), "maybe").where("maybe")  # so that few other texts are moved
+    texts = texts.groupBy("k", "none", "m").agg(F.first("text").alias("text"))  # repeated rows are one before they move
+    clustered = clustered.join(texts, ["k", "none", "m"]).select("text", "digest", "grp", "node", "sig")
 
     def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,27 +306,36 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), key: str =
             yield pa.RecordBatch.from_arrays([t.column(2), t.column(3), t.column(3), pa.array([len(found[i]) for i in right], pa.int64()), t.column(4), pa.array([found[i].tobytes() for i in right], pa.binary())], ["grp", "node", "label", "size", "sig", "members"])
 
     full = clustered.mapInArrow(filled, "grp long, node long, label long, size long, sig binary, members binary")
-    joined = components(within(materialise(full), settings))
-
-    named = seen.join(joined.withColumnRenamed("node", "nd"), F.col("node") == F.col("nd"), "left").select(F.col("digest").alias("d"), F.coalesce("component", "node").alias("component_id"))
-    out = rows.select("doc_id", "mark", "n", "digest").join(named, F.col("digest") == F.col("d"), "left")
-    component = F.coalesce("component_id", "doc_id")
-    return out.select(*[F.col("mark").alias(m) for m in [mark] if m], F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+    links = within(materialise(full), settings)
+    if (more := _of_one_key(held, classes)) is not None:
+        links = links.unionByName(more)
+    joined = components(links)
+
+    least = joined.join(classes.select("node", "own"), "node").groupBy("component").agg(F.min("own").alias("component_id"))
+    reached = parted_join(joined, least, "component", ["node"], "inner", HEAVY)
+    named = classes.select("node", "digest", "own", F.col("mark").alias("m")).join(reached, "node", "left")
+    # The text that stays where links reach no key is that of the component's least node.
+    chosen = F.when(F.col("node") == F.coalesce("component", "node"), F.col("m"))
+    named = named.select("digest", F.coalesce("component_id", "own").alias("component_id"), chosen.alias("chosen"))
+    out = parted_join(held.select("doc_id", "mark", "n", "digest"), named, "digest", ["doc_id", "mark"], "inner", HEAVY)
+    kept = F.when(F.col("component_id").isNull(), F.col("mark") == F.col("chosen")).otherwise(F.col("doc_id") == F.col("component_id"))
+    out = out.select("mark", "doc_id", "n", "component_id", F.coalesce(kept, F.lit(False)).alias("kept"))
+    out = out.unionByName(rows.where("digest is null").select("mark", "doc_id", "n", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
+    return out.select(*[F.col("mark").alias(m) for m in [mark] if m], F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), "component_id", "kept")
 
 
 def unique(docs: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text") -> DataFrame:  # noqa: B008
     """The rows, all their columns, of the documents that stay: one of each group. Of rows that repeat key and text one stays."""
-    mark, k, twice, stays = (free_name(docs, x) for x in ("mark", "key", "twice", "stays"))
-    rows = materialise(near_duplicates(docs, settings, key, text, mark).select(F.col(key).alias(k), mark, F.col("kept").alias(stays)))
-    rows = rows.groupBy(k, mark).agg(F.max(stays).alias(stays), (F.count(F.lit(1)) > 1).alias(twice))
-    doubtful = materialise(rows.where(~F.col(stays) | F.col(twice)))
-    # A document whose text and key are certainly no doubtful ones stays as it is, without being moved; the others are looked up.
-    hashed, maybe = free_name(docs, "hash"), free_name(docs, "maybe")
-    both = lambda a, b: F.xxhash64(F.coalesce(a.cast("long"), F.lit(0)), b)
-    own = docs.withColumn(hashed, F.xxhash64(text))
-    own = sifted(own, both(F.col(key), F.col(hashed)), doubtful.select(both(F.col(k), F.col(mark))), maybe)
-    asked = own.where(F.col(maybe))
-    found = asked.join(doubtful, asked[key].cast("long").eqNullSafe(doubtful[k]) & (asked[hashed] == doubtful[mark]), "left").where(F.coalesce(stays, F.lit(True)))
-    turn = free_name(docs, "turn")
-    single = found.withColumn(turn, F.row_number().over(Window.partitionBy(key, hashed).orderBy(F.lit(1)))).where((F.col(turn) == 1) | ~F.coalesce(twice, F.lit(False)))
-    return own.where(~F.col(maybe)).select(docs.columns).unionByName(single.select(docs.columns))
+    stays, maybe, mark = (free_name(docs, x) for x in ("stays", "maybe", "mark"))
+    rows = near_duplicates(docs, settings, key, text, mark)
+    rows = materialise(rows.groupBy(*_identity(F.col(key), F.col(mark))).agg(F.max("kept").alias(stays), F.count(F.lit(1)).alias("n")))
+    doubtful = rows.where(~F.col(stays) | (F.col("n") > 1)).drop("n")
+    # A document whose text and key are certainly no doubtful ones stays as it is, without being moved; the others are looked up,
+    # rows that repeat key and text as one, combined before they move.
+    names = [free_name(docs, x) for x in ("k", "none", "m")]
+    doubtful = doubtful.withColumnsRenamed(dict(zip(("k", "none", "m"), names, strict=True)))
+    identity = [c.alias(n) for c, n in zip(_identity(F.col(key).cast("long"), F.xxhash64(text)), names, strict=True)]
+    own = sifted(docs.select("*", *identity), F.xxhash64(*names), doubtful.select(F.xxhash64(*names)), maybe)
+    asked = own.where(F.col(maybe)).dropDuplicates(names)
+    found = asked.join(doubtful, names, "left").where(F.coalesce(stays, F.lit(True)))
+    return own.where(~F.col(maybe)).select(docs.columns).unionByName(found.select(docs.columns))

@@ -360,6 +360,27 @@ def test_near_duplicates(spark, words, chunk):
     assert neardup.near_duplicates(docs(spark, [])).count() == neardup.unique(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("heavy", [neardup.HEAVY, 3])
+def test_near_duplicates_without_keys_and_of_one_key(spark, monkeypatch, heavy):
+    monkeypatch.setattr(neardup, "HEAVY", heavy)
+    long = [" ".join(f"{family}{i}" for i in range(60)) for family in "abcdef"]
+    near = lambda text, *at: " ".join(f"other{i}" if i in at else w for i, w in enumerate(text.split()))
+    rows = [(None, long[0]), (None, near(long[0], 0)), (None, near(long[0], 59))]  # only such documents
+    rows += [(None, long[1].upper()), (None, long[1]), (None, long[1])]  # equal sets of several texts
+    rows += [(40, near(long[2], *range(3))), (None, long[2]), (30, near(long[2], *range(57, 60)))]  # linked through one
+    rows += [(7, long[3]), (7, long[4]), (9, near(long[3], 0)), (8, near(long[4], 0))]  # linked by a key's two texts
+    rows += [(11, long[5])] * 40 + [(11, f"text {i} of one key") for i in range(40)] + [(None, None)] * 3
+    plain = plain_near(rows, 2)
+    assert {c for i, _, c in plain if i in (30, 40)} == {30} and {c for i, _, c in plain if i in (7, 8, 9)} == {7}
+    got = neardup.near_duplicates(docs(spark, rows), neardup.Settings(words=2)).collect()
+    assert sorted(map(repr, [tuple(r)[:3] for r in got])) == sorted(map(repr, plain))
+    stays = [(r.doc_id, r.text) for r in neardup.unique(docs(spark, rows), neardup.Settings(words=2)).collect()]
+    assert len(stays) == len(set(stays))
+    assert sorted(t for i, t in stays if i == 7) == sorted(long[3:5]) and {i for i, _ in stays} == {None, 30, 7, 11}
+    families = [t.split()[5].lower()[0] for i, t in stays if i is None and t]
+    assert sorted(families) == ["a", "b"] and (None, None) in stays and sum(i == 11 for i, _ in stays) == 41
+
+
 def test_bayes_bounds():
     steps = neardup.needed(neardup.Settings())
     rng = np.random.default_rng(1)
