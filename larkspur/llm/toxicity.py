@@ -22,6 +22,8 @@ from pyspark.sql.types import DoubleType
 from larkspur.llm.common import held_out, lean, materialise, scratch, share_of, small, thinned, with_field, words
 
 _EDGES = ".,;:!?\"'()[]{}<>*#$%&|-_/\\"
+#: Features of texts that a task holds at once, but for those of one text.
+_HELD = 1 << 16
 
 
 def features(text: str | None) -> set[str]:
@@ -138,8 +140,14 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [features(x.as_py()) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_kind(x) for x in sets], pa.int64()), pa.array([sorted(x) for x in sets], pa.list_(pa.string()))], ["p", "kind", "found"])
+            sets: list[set[str]] = []
+            first = held = 0
+            for i, x in enumerate(batch.column(1), 1):
+                sets.append(features(x.as_py()))
+                held += len(sets[-1])
+                if held >= _HELD or i == batch.num_rows:  # a batch's features are many times its texts
+                    yield pa.RecordBatch.from_arrays([batch.column(0)[first:i], pa.array([_kind(x) for x in sets], pa.int64()), pa.array([sorted(x) for x in sets], pa.list_(pa.string()))], ["p", "kind", "found"])
+                    sets, first, held = [], i, 0
 
     with scratch(docs.sparkSession):
         rows = sample.mapInArrow(found, "p boolean, kind long, found array<string>")
